@@ -1,0 +1,42 @@
+"""Groups too large for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A window or set over this many rows is still easy work for one task.
+MAX_GROUP_ROWS = 1_000_000
+# More hot keys than this are impossible: the row limit is raised to total / this.
+MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(
+    df: DataFrame, key: str, max_rows: int = MAX_GROUP_ROWS
+) -> DataFrame | None:
+    """The keys with more than ``max_rows`` rows, or None when there are none.
+
+    Reads the key column only, with map-side counts.  At most ``MAX_HOT_KEYS``
+    keys can come back, whatever the data, so the answer is safe to broadcast.
+    """
+    sizes = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    total, largest = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
+    if not total or largest <= max_rows:
+        return None
+    limit = max(max_rows, total // MAX_HOT_KEYS)
+    keys = sizes.where(F.col("_rows") > limit).select(key)
+    rows = [tuple(r) for r in keys.collect()]
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, schema=keys.schema)
+
+
+def split_hot(
+    df: DataFrame, key: str, max_rows: int = MAX_GROUP_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """``(rows of ordinary keys, rows of hot keys or None)``."""
+    hot = hot_keys(df, key, max_rows)
+    if hot is None:
+        return df, None
+    hot = F.broadcast(hot)
+    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
