@@ -1,6 +1,6 @@
 """Event logs over other tables.
 
-``user_day_log``: one case per user and day of the ``events`` table.
+``user_log``: one case per user and period of some days of the ``events`` table.
 ``shipment_log``: one case per order, one event per order line.
 """
 
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..spec import COLUMN_MAP
+
 # event_type -> state of the ticket process.
 STATES = {
     "signup": "Ticket created",
@@ -32,10 +34,10 @@ def _pick(names: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
 
 
-def user_day_log(events: DataFrame) -> DataFrame:
+def user_log(events: DataFrame, days: int = 3) -> DataFrame:
     """All case attributes are functions of the user, so they are constant in a case."""
     user = F.col("user_id")
-    day = F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")
+    period = F.floor(F.date_diff(F.to_date("ts"), F.lit("2000-01-01").cast("date")) / days)
     state = F.lit(None).cast("string")
     for kind, name in STATES.items():
         state = F.when(F.col("event_type") == kind, name).otherwise(state)
@@ -43,7 +45,7 @@ def user_day_log(events: DataFrame) -> DataFrame:
     issue = _pick(ISSUE_TYPES, user % len(ISSUE_TYPES))
     return events.select(
         "event_id",
-        F.concat(user.cast("string"), F.lit("-"), day.cast("string")).alias("case_id"),
+        F.concat(user.cast("string"), F.lit("-"), period.cast("string")).alias("case_id"),
         F.concat(F.lit("Variant "), (user % VARIANTS + 1).cast("string")).alias("variant"),
         _pick(PRIORITIES, user % len(PRIORITIES)).alias("priority"),
         reporter.alias("reporter"),
@@ -87,3 +89,41 @@ def shipment_log(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.concat(F.lit("order of "), reporter).alias("short_description"),
         (customer % 5 + 1).cast("int").alias("customer_satisfaction"),
     )
+
+
+# Canonical column -> header of the raw export, and its row number.
+RAW_HEADERS = {canonical: raw for raw, canonical in COLUMN_MAP.items()}
+ROW = "Row"
+
+
+def _clock(mixed: bool) -> Column:
+    """The event time as export text; ``mixed`` uses four spellings, one unreadable."""
+    ts = F.col("event_timestamp")
+    day, month, year = F.dayofmonth(ts), F.month(ts), F.year(ts)
+    hour, minute, second = F.hour(ts), F.minute(ts), F.second(ts)
+    usual = F.format_string("%02d/%02d/%04d %02d:%02d", day, month, year, hour, minute)
+    if not mixed:
+        return usual
+    kind = F.col("event_id") % 4
+    return (
+        F.when(kind == 0, usual)
+        .when(kind == 1, F.format_string("%d-%d-%04d %d:%02d:%02d", day, month, year, hour, minute, second))
+        .when(kind == 2, F.format_string("%04d-%02d-%02d %02d:%02d:%02d", year, month, day, hour, minute, second))
+        .otherwise("no time")
+    )
+
+
+def raw_export(log: DataFrame, mixed: bool = False) -> DataFrame:
+    """A log turned back into the text columns of an export, row number last."""
+    text = {c: F.col(c).cast("string") for c in RAW_HEADERS}
+    text["event_timestamp"] = _clock(mixed)
+    if mixed:
+        text["variant"] = F.concat(F.lit("  "), text["variant"], F.lit(" "))
+        text["resolver"] = F.coalesce(text["resolver"], F.lit("   "))
+        text["customer_satisfaction"] = F.when(
+            F.col("event_id") % 11 == 0, "unknown"
+        ).otherwise(text["customer_satisfaction"])
+    return log.select(
+        *[text[c].alias(header) for c, header in RAW_HEADERS.items()],
+        F.col("event_id").alias(ROW),
+    )
