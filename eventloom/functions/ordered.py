@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from .storage import materialise
 
 FROM_START = Window.unboundedPreceding
+# monotonically_increasing_id: the partition number stands above this many row bits.
+ROW_BITS = 33
 
 
 def key_of(by: Sequence[str]) -> Column:
@@ -81,7 +83,31 @@ def global_rank(
     name: str = "rank",
     chunks: int | None = None,
 ) -> DataFrame:
-    """Adds 1..N in the given order, and ``<name>_all`` = N."""
-    return running_totals(
-        df.withColumn("_one", F.lit(1).cast("bigint")), [], order, {name: "_one"}, chunks
-    ).drop("_one")
+    """Adds 1..N in the given order, and ``<name>_all`` = N.
+
+    One range-partitioned sort.  The row's place in its partition is written with it;
+    the rows in earlier partitions are then added from a table with one row per
+    partition, so nothing is shuffled a second time.
+    """
+    ranged = df.repartitionByRange(chunks, *order) if chunks else df.repartitionByRange(*order)
+    numbered = ranged.sortWithinPartitions(*order).withColumn(
+        "_row", F.monotonically_increasing_id()
+    )
+    rows = materialise(numbered, "ranked").withColumns(
+        {
+            "_chunk": F.shiftright("_row", ROW_BITS),
+            "_place": F.col("_row").bitwiseAND((1 << ROW_BITS) - 1) + 1,
+        }
+    )
+    sizes = rows.groupBy("_chunk").agg(F.count("*").alias("_size"))
+    along = Window.orderBy("_chunk")
+    skipped = sizes.select(
+        "_chunk",
+        F.coalesce(F.sum("_size").over(along.rowsBetween(FROM_START, -1)), F.lit(0)).alias("_skip"),
+        F.sum("_size").over(Window.partitionBy()).alias(f"{name}_all"),
+    )
+    return (
+        rows.join(F.broadcast(skipped), "_chunk")  # one row per partition
+        .withColumn(name, F.col("_place") + F.col("_skip"))
+        .select(*df.columns, name, f"{name}_all")
+    )

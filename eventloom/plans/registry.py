@@ -57,6 +57,8 @@ class Report:
     group: str
     title: str
     run: Callable[[Views], DataFrame]
+    # False for a list that grows with the log: it is exported as many files.
+    small: bool = True
 
 
 REPORTS = [
@@ -73,7 +75,7 @@ REPORTS = [
     Report("rework_events", "bottlenecks", "Repeated events", lambda v: bottlenecks.rework_events(v.log)),
     Report("escalation_funnel", "bottlenecks", "Escalation funnel", lambda v: bottlenecks.escalation_funnel(v.cases)),
     Report("completeness", "quality", "Completeness by column", lambda v: quality.completeness(v.log)),
-    Report("null_events", "quality", "Rows without an event name", lambda v: quality.null_events(v.log)),
+    Report("null_events", "quality", "Rows without an event name", lambda v: quality.null_events(v.log), small=False),
     Report("resolver_nulls", "quality", "Resolver nulls by event", lambda v: quality.resolver_nulls(v.log)),
     Report("score_ceiling", "quality", "Score ceiling by variant", lambda v: quality.score_ceiling(v.cases)),
     Report("ordering_defects", "quality", "Out-of-order and negative intervals", lambda v: quality.ordering_defects(v.transitions)),
@@ -112,8 +114,8 @@ def export_reports(
 ) -> dict[str, str]:
     """One folder per report, named after its title; returns name -> path.
 
-    A title that occurs twice gets ``_2``, ``_3`` and so on.  Reports are small, so
-    CSV is written as a single file in report order.
+    A title that occurs twice gets ``_2``, ``_3`` and so on.  A small report becomes a
+    single CSV file in report order.
     """
     taken: dict[str, int] = {}
     paths = {}
@@ -125,7 +127,8 @@ def export_reports(
         path = f"{out}/{name}"
         rows = report.run(views)
         if fmt == "csv":
-            rows.coalesce(1).write.mode("overwrite").csv(path, header=True)
+            rows = rows.coalesce(1) if report.small else rows
+            rows.write.mode("overwrite").csv(path, header=True)
         else:
             rows.write.mode("overwrite").format(fmt).save(path)
         paths[report.name] = path

@@ -59,12 +59,13 @@ def run_study(
     chrono = splits["chronological"]
     train, test = train_of(chrono), held_out(chrono)
 
-    scores = models.train_grid(splits, labels, learners)
+    grid = models.fit_grid(splits, labels, learners)
+    scores = models.score_grid(grid, splits)
     by = ["split", "label_name", "model"]
     evaluation = materialise(metrics.evaluate_binary(scores, by=by), "evaluation")
     ablations = models.ablation_scores(chrono, label=primary)
-    forest = models.gbt_classifier(train, primary)
-    linear = models.logreg(train, primary)
+    linear = grid["chronological", primary, "logistic_regression"]
+    forest = grid["chronological", primary, "boosted_trees"]
     regressor = models.gbt_regressor(train)
     train_mean = train.agg(F.avg("cycle_time_hours")).scalar()
 
@@ -100,10 +101,10 @@ def run_study(
             section = f"baselines/{name}/{label}"
             parts.append(long_form(metrics.always_negative(*sides, label), f"{section}/always_negative"))
             parts.append(long_form(metrics.stratified_random(*sides, label), f"{section}/stratified_random"))
-    # A few hundred lines; written once, so that later readers do not repeat the work.
-    report = materialise(reduce(DataFrame.unionByName, parts).coalesce(1), "study")
+    report = materialise(reduce(DataFrame.unionByName, parts), "study")
     if out is not None:
-        report.write.mode("overwrite").json(f"{out}/metrics")
+        # A few hundred lines, already written: one file for people to read.
+        report.coalesce(1).write.mode("overwrite").json(f"{out}/metrics")
         models.logreg(frame, primary).save(f"{out}/model_logistic_regression")
         models.gbt_classifier(frame, primary).save(f"{out}/model_boosted_trees")
     return report

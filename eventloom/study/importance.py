@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,11 +53,15 @@ def permutation_importance(
     features = list(features or model.features.names)
     frame = materialise(frame, "importance")
     whole = ranking_metrics(curve_points(model.scored(frame, label))).first()["pr_auc"]
-    scores = None
-    for repeat in range(n_repeats):
-        copies = shuffled_copies(frame, features, repeat, seed)
-        part = model.scored(copies, label, keep=["feature", "repeat"])
-        scores = part if scores is None else scores.unionByName(part)
+    scores = reduce(
+        DataFrame.unionByName,
+        [
+            model.scored(
+                shuffled_copies(frame, features, repeat, seed), label, keep=["feature", "repeat"]
+            )
+            for repeat in range(n_repeats)
+        ],
+    )
     by = ["feature", "repeat"]
     shuffled = ranking_metrics(curve_points(scores, by=by), by)
     drop = F.lit(float(whole)) - F.col("pr_auc")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -75,13 +76,18 @@ def balanced_weight(label: str, n: int, positives: int) -> Column:
     return F.when(F.col(label) == 1, n / (2.0 * positives)).otherwise(n / (2.0 * (n - positives)))
 
 
-def logreg(train: DataFrame, label: str, features: FeatureSet = INTAKE, max_iter: int = 2000) -> Fitted:
+def logreg(
+    train: DataFrame,
+    label: str,
+    features: FeatureSet | FittedFeatures = INTAKE,
+    max_iter: int = 2000,
+) -> Fitted:
     """L2 with unit strength and balanced classes.
 
     Spark divides the loss by the sum of weights (= n), so the penalty is 1/n.
     """
     n, positives = class_sizes(train, label)
-    fitted = fit_features(train, features)
+    fitted = features if isinstance(features, FittedFeatures) else fit_features(train, features)
     rows = fitted.transform(train).select(
         "features",
         F.col(label).cast("double").alias("label"),
@@ -103,18 +109,26 @@ def _validation(key: str = "case_id", seed: int = SEED) -> Column:
     return place < int(VALIDATION_SHARE * 10_000)
 
 
+ORDINAL = FeatureSet(CATEGORICAL, TEMPORAL)
+
+
+def _ordinal(train: DataFrame, features: FeatureSet | FittedFeatures) -> FittedFeatures:
+    if isinstance(features, FittedFeatures):
+        return features
+    return fit_ordinal(train, features.categorical, features.numeric)
+
+
 def gbt_classifier(
     train: DataFrame,
     label: str,
-    categorical: Sequence[str] = tuple(CATEGORICAL),
-    numeric: Sequence[str] = tuple(TEMPORAL),
+    features: FeatureSet | FittedFeatures = ORDINAL,
     max_iter: int = 300,
     step: float = 0.08,
     seed: int = SEED,
 ) -> Fitted:
     """Boosted trees on ordinal codes; stops when the validation rows stop improving."""
     class_sizes(train, label)
-    fitted = fit_ordinal(train, categorical, numeric)
+    fitted = _ordinal(train, features)
     rows = fitted.transform(train).select(
         "features", F.col(label).cast("double").alias("label"), _validation().alias("held_back")
     )
@@ -133,13 +147,12 @@ def gbt_classifier(
 def gbt_regressor(
     train: DataFrame,
     target: str = "cycle_time_hours",
-    categorical: Sequence[str] = tuple(CATEGORICAL),
-    numeric: Sequence[str] = tuple(TEMPORAL),
+    features: FeatureSet | FittedFeatures = ORDINAL,
     max_iter: int = 400,
     step: float = 0.06,
     seed: int = SEED,
 ) -> Fitted:
-    fitted = fit_ordinal(train, categorical, numeric)
+    fitted = _ordinal(train, features)
     rows = fitted.transform(train).select(
         "features", F.col(target).cast("double").alias("label"), _validation().alias("held_back")
     )
@@ -155,7 +168,46 @@ def gbt_regressor(
     return Fitted(fitted, learner.fit(rows))
 
 
-LEARNERS = {"logistic_regression": logreg, "boosted_trees": gbt_classifier}
+# model name -> (what learns the features, what learns from them)
+LEARNERS = {
+    "logistic_regression": (fit_features, logreg),
+    "boosted_trees": (lambda train: _ordinal(train, ORDINAL), gbt_classifier),
+}
+
+
+def fit_grid(
+    splits: dict[str, DataFrame],
+    labels: Sequence[str] = tuple(LABELS),
+    learners: dict | None = None,
+) -> dict[tuple[str, str, str], Fitted]:
+    """A model per split, label and learner.  Features do not depend on the label, so
+    they are learnt once per split."""
+    models = {}
+    for split_name, split in splits.items():
+        train = train_of(split)
+        for model_name, (prepare, learn) in (learners or LEARNERS).items():
+            fitted = prepare(train)
+            for label in labels:
+                models[split_name, label, model_name] = learn(train, label, fitted)
+    return models
+
+
+def score_grid(
+    models: dict[tuple[str, str, str], Fitted], splits: dict[str, DataFrame]
+) -> DataFrame:
+    """Scores of the held-out rows of each model's split."""
+    parts = [
+        fitted.scored(held_out(splits[split_name]), label).select(
+            "case_id",
+            F.lit(split_name).alias("split"),
+            F.lit(label).alias("label_name"),
+            F.lit(model_name).alias("model"),
+            "label",
+            "score",
+        )
+        for (split_name, label, model_name), fitted in models.items()
+    ]
+    return materialise(reduce(DataFrame.unionByName, parts), "scores")
 
 
 def train_grid(
@@ -163,30 +215,10 @@ def train_grid(
     labels: Sequence[str] = tuple(LABELS),
     learners: dict | None = None,
 ) -> DataFrame:
-    """Scores of the held-out rows for every split, label and model."""
-    parts = []
-    for split_name, split in splits.items():
-        train, test = train_of(split), held_out(split)
-        for label in labels:
-            for model_name, learn in (learners or LEARNERS).items():
-                scores = learn(train, label).scored(test, label)
-                parts.append(
-                    scores.select(
-                        "case_id",
-                        F.lit(split_name).alias("split"),
-                        F.lit(label).alias("label_name"),
-                        F.lit(model_name).alias("model"),
-                        "label",
-                        "score",
-                    )
-                )
-    together = parts[0]
-    for part in parts[1:]:
-        together = together.unionByName(part)
-    return materialise(together, "scores")
-
-
-# name -> (features, condition on the rows used)
+    return score_grid(fit_grid(splits, labels, learners), splits)
+
+
+# name -> features; the last one leaves out cases instead
 ABLATIONS = {
     "with_variant": FeatureSet([*CATEGORICAL, "variant"], NUMERIC, TEXT),
     "with_satisfaction": FeatureSet(
@@ -217,10 +249,7 @@ def ablate(
 def ablation_scores(
     split: DataFrame, names: Sequence[str] = tuple(ABLATIONS), label: str = "reached_level_3"
 ) -> DataFrame:
-    together = None
-    for name in names:
-        part = ablate(split, name, label)
-        together = part if together is None else together.unionByName(part)
+    together = reduce(DataFrame.unionByName, [ablate(split, name, label) for name in names])
     return materialise(together, "ablations")
 
 

@@ -154,7 +154,9 @@ def test_three_word_runs(spark):
 
 def test_boosted_trees_importance_and_saving(spark, split, tmp_path):
     cats = ["short_description", "reporter"]
-    fitted = models.gbt_classifier(train_of(split), "reached_level_3", cats, ["created_hour"], max_iter=5)
+    fitted = models.gbt_classifier(
+        train_of(split), "reached_level_3", FeatureSet(cats, ["created_hour"]), max_iter=5
+    )
     test = held_out(split)
     scores = fitted.scored(test, "reached_level_3")
     assert metrics.evaluate_binary(scores).first()["roc_auc"] == 1.0
@@ -183,7 +185,7 @@ def test_shuffled_copies_move_one_column_only(split):
 
 def test_regressor_beats_the_mean(split):
     train, test = train_of(split), held_out(split)
-    fitted = models.gbt_regressor(train, categorical=["short_description"], numeric=["created_hour"], max_iter=20)
+    fitted = models.gbt_regressor(train, features=FeatureSet(["short_description"], ["created_hour"]), max_iter=20)
     mean = train.agg(F.avg("cycle_time_hours")).scalar()
     m = metrics.evaluate_regression(fitted.predicted(test, "cycle_time_hours"), mean).first()
     assert m["mae"] < m["baseline_mae"] / 2 and m["r2"] > 0.5 and m["spearman"] > 0.3
@@ -191,8 +193,11 @@ def test_regressor_beats_the_mean(split):
 
 def test_grid_and_sensitivity(frame, split):
     quick = {
-        "logistic_regression": lambda d, c: models.logreg(d, c, FeatureSet(["priority"])),
-        "boosted_trees": lambda d, c: models.gbt_classifier(d, c, ["priority"], [], max_iter=2),
+        "logistic_regression": (lambda d: features.fit_features(d, FeatureSet(["priority"])), models.logreg),
+        "boosted_trees": (
+            lambda d: features.fit_ordinal(d, ["priority"], []),
+            lambda d, c, f: models.gbt_classifier(d, c, f, max_iter=2),
+        ),
     }
     scores = models.train_grid({"chronological": split, "random": random_split(frame)}, ["reached_level_3"], quick)
     assert scores.columns == ["case_id", "split", "label_name", "model", "label", "score"]
