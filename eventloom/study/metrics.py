@@ -372,7 +372,10 @@ def rule_metrics(frame: DataFrame, rule: Column, label: str) -> DataFrame:
 def at_matched(
     points: DataFrame, recall: float | None = None, flagged: int | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """The curve's first point with at least this recall, or this many flagged rows."""
+    """The curve's first point with at least this recall, or this many flagged rows.
+
+    Without such a point there is no row.
+    """
     if (recall is None) == (flagged is None):
         raise ValueError("give either recall or flagged")
     n = F.col("tp") + F.col("fp")
@@ -380,7 +383,7 @@ def at_matched(
     first = points.where(reached).groupBy(*by).agg(
         F.max_by(F.struct("threshold", "tp", "fp", "precision", "recall"), "threshold").alias("_p")
     )
-    return first.select(
+    return first.where(F.col("_p").isNotNull()).select(
         *by,
         F.col("_p.threshold").alias("threshold"),
         (F.col("_p.tp") + F.col("_p.fp")).alias("n_flagged"),
