@@ -17,6 +17,7 @@ from ..functions.exact import (
 from ..functions.ordered import key_of
 from ..functions.quantiles import exact_quantiles
 from ..functions.skew import MAX_GROUP_ROWS, split_hot
+from ..functions.storage import materialise
 from ..spec import CASE_DIMS, EVENT_ORDER, MilestonePatterns
 from .sequence import by_chunks, with_neighbours
 
@@ -61,7 +62,9 @@ def case_metrics(
         F.percentile("_gap", F.lit(0.5)).alias("_median"),
     )
     if hot is not None:
-        hot_gaps = by_chunks(hot, before=["event_timestamp"], chunks=chunks).withColumn("_gap", _gap())
+        hot_gaps = by_chunks(hot, before=["event_timestamp"], chunks=chunks)
+        # Read three times below, so the chunks are worked through once and written.
+        hot_gaps = materialise(hot_gaps.withColumn("_gap", _gap()), "gaps")
         wide = hot_gaps.groupBy(*CASE_KEY).agg(
             *_measures(patterns),
             F.countDistinct("event").alias("unique_events"),
