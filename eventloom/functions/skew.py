@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # A window or set over this many rows is still easy work for one task.
 MAX_GROUP_ROWS = 1_000_000
 # More hot keys than this are impossible: the row limit is raised to total / this.
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
 
 
 def hot_keys(

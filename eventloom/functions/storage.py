@@ -29,9 +29,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and return the written table.
 
     Cuts lineage, survives the loss of executors, and later readers get column
-    pruning.  Each call writes a new folder, so nothing is ever overwritten.
+    pruning.  Each call writes a new folder, so nothing is ever overwritten; all folders
+    of an application stand together and can be deleted when it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/eventloom/{uuid.uuid4().hex}/{label}"
+    base = f"{shared_dir(spark).rstrip('/')}/eventloom/{spark.sparkContext.applicationId}"
+    path = f"{base}/{uuid.uuid4().hex}/{label}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

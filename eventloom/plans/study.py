@@ -50,7 +50,11 @@ def run_study(
     learners: dict | None = None,
     n_repeats: int = 5,
 ) -> DataFrame:
-    """Every figure as ``(section, metric, value)``; with ``out`` also as JSON and models."""
+    """Every figure as ``(section, metric, value)``.
+
+    With ``out`` also as JSON, with the models refitted on all cases and the data behind
+    the usual figures: curves, histogram, and the table of descriptions by issue type.
+    """
     frame = require_cases(materialise(intake_frame(log, cases), "intake"))
     splits = {
         "chronological": materialise(chrono_split(frame), "chronological"),
@@ -73,6 +77,7 @@ def run_study(
         long_form(intake_checks(frame), "intake_frame"),
         long_form(diagnostics.templating(frame), "short_description_templating"),
         long_form(diagnostics.mutual_information(frame), "short_description_templating"),
+        long_form(diagnostics.top_values(frame), "short_description_templating/top", ["value"]),
         long_form(diagnostics.score_timing(frame), "customer_satisfaction_timing"),
         long_form(diagnostics.score_by_label(frame, primary), "customer_satisfaction_timing", [primary]),
         long_form(diagnostics.class_balance(frame, labels), "class_balance", ["label_name"]),
@@ -105,6 +110,9 @@ def run_study(
     if out is not None:
         # A few hundred lines, already written: one file for people to read.
         report.coalesce(1).write.mode("overwrite").json(f"{out}/metrics")
+        metrics.curve_points(scores, by=by).write.mode("overwrite").parquet(f"{out}/curves")
+        metrics.histogram(frame).write.mode("overwrite").parquet(f"{out}/cycle_time_histogram")
+        diagnostics.crosstab(frame).write.mode("overwrite").parquet(f"{out}/descriptions_by_issue_type")
         models.logreg(frame, primary).save(f"{out}/model_logistic_regression")
         models.gbt_classifier(frame, primary).save(f"{out}/model_boosted_trees")
     return report
