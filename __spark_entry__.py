@@ -27,6 +27,14 @@ from eventloom.sources.adapters import ROW, raw_export, shipment_log, table, use
 from eventloom.spec import COLUMN_MAP  # noqa: E402
 from eventloom.study import diagnostics, features, importance, intake, metrics, models, splits  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline
+    from eventloom.llm import registry as llm
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "eventloom.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -401,8 +409,15 @@ def queries() -> dict[str, Query]:
     ):
         report = next(r for r in REPORTS if r.name == name)
         q[f"shipment_{name}"] = _over(_shipments, report.run)
+    if llm:
+        q |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    sql = oracle.oracle_sql()
+    if llm:
+        sql |= llm.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
