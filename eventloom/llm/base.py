@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,12 +22,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: By application, the driver's archive of this package; executors fetch it when they start.
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session, unless they find it by the
+    working directory or PYTHONPATH."""
+    root = Path(__file__).resolve().parents[2]
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    app = spark.sparkContext.applicationId
+    if app in _shipped or str(root) in known:
+        return
+    _shipped[app] = tempfile.TemporaryDirectory(prefix="eventloom-")
+    archive = shutil.make_archive(f"{_shipped[app].name}/eventloom", "zip", root, "eventloom")
+    spark.sparkContext.addPyFile(archive)
+
+
 def text_or_empty() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns most operators need, whatever else the table holds."""
+    ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from eventloom.llm import quality, sharding
+from eventloom.llm import bpe, language, packing, quality, sharding
 
 QUERIES = {
     f.__name__: f
     for f in (
+        packing.op1_best_fit_packing,
         sharding.op3_rendezvous_sharding,
         quality.op4_quality_rules,
+        bpe.op6_bpe_prefixes,
+        language.op9_cross_parsing_language,
     )
 }
 ORACLES: dict[str, str] = {}
