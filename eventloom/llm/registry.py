@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from eventloom.llm import bpe, language, packing, quality, sharding
+from eventloom.llm import bpe, fingerprints, language, packing, quality, sharding, urls
 
 QUERIES = {
     f.__name__: f
     for f in (
         packing.op1_best_fit_packing,
+        urls.op2_temporal_url_list,
         sharding.op3_rendezvous_sharding,
         quality.op4_quality_rules,
         bpe.op6_bpe_prefixes,
+        fingerprints.op8_spot_signatures,
         language.op9_cross_parsing_language,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_temporal_url_list": urls.ORACLE}
