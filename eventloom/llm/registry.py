@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventloom.llm import bpe, fingerprints, language, packing, quality, sharding, urls
+from eventloom.llm import bpe, fingerprints, language, packing, quality, scoring, sharding, urls
 
 QUERIES = {
     f.__name__: f
@@ -11,9 +11,13 @@ QUERIES = {
         urls.op2_temporal_url_list,
         sharding.op3_rendezvous_sharding,
         quality.op4_quality_rules,
+        scoring.op5_stupid_backoff,
         bpe.op6_bpe_prefixes,
         fingerprints.op8_spot_signatures,
         language.op9_cross_parsing_language,
     )
 }
-ORACLES: dict[str, str] = {"op2_temporal_url_list": urls.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_temporal_url_list": urls.ORACLE,
+    "op5_stupid_backoff": scoring.ORACLE,
+}
