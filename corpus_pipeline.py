@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.functions.storage import materialise
-from eventloom.llm import quality
+from eventloom.llm import jaccard, language, packing, quality, repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality.quality_stage),
+    ("language_id", language.language_stage),
+    ("ngram_jaccard_join", jaccard.jaccard_stage),
+    ("suffix_array_dedup", repeats.repeats_stage),
+    ("best_fit_packing", packing.packing_stage),
 ]
 
 #: Language ID, the similarity join and packing are beyond SQL; the tests hold the

@@ -36,7 +36,7 @@ WORDS, LEAST = 5, 0.8
 #: Tokens of the embedding, runs, coordinates sampled at a node, depth of the tree.
 TOKENS, RUNS, BRANCHES, DEPTH = 128, 4, 2, 3
 #: Sets in a bucket that are compared by brute force; rows of a larger bucket in one task.
-BRUTE, SPLIT = 24, 50_000
+BRUTE, SPLIT = 64, 50_000
 #: Share of equal sketch bytes from which a pair is verified: five standard deviations
 #: below the threshold for 128 tokens.
 SKETCH_LEAST = 0.62
@@ -156,13 +156,13 @@ def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
     """
     parts = F.greatest(F.ceil(F.col("n") / SPLIT), F.lit(1)).cast("int")
     own = members.select(
-        "path", F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"), (F.col("n") <= BRUTE).alias("small"), "key", F.lit(False).alias("leads")
+        "path", F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"), "key", F.lit(False).alias("leads")
     )
     large = members.filter(F.col("n") > BRUTE).select("path", "n", "leaders").groupBy("path").agg(
         F.first("n").alias("n"), F.first("leaders").alias("leaders")
     )
     leading = large.select("path", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "leaders").select(
-        "path", "part", F.lit(False).alias("small"), F.explode("leaders").alias("key"), F.lit(True).alias("leads")
+        "path", "part", F.explode("leaders").alias("key"), F.lit(True).alias("leads")
     )
 
     def sketch(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,27 +175,21 @@ def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
         bucket, held, leaders = None, [], []
         for frame in frames:
             found: list[tuple[bytes, bytes]] = []
-            for path, part, small, key, leads, sketched in zip(
-                *(frame[c] for c in ("path", "part", "small", "key", "leads", "sketch")), strict=True
-            ):
-                if bucket != (path, part):
-                    found += _alike(held, held)
-                    bucket, held, leaders = (path, part), [], []
-                (leaders if leads else held).append((key, sketched))
-                if not small and len(held) >= 1024:
-                    found += _alike(leaders, held)
+            for *now, leads, key, sketched in zip(*(frame[c] for c in columns), strict=True):
+                # Rows of a bucket stand together, its leaders first.
+                if now != bucket or len(held) >= 1024:
+                    found += _alike(leaders or held, held)
                     held = []
-                elif leads is False and not small and False:
-                    pass
-            if held and leaders:
-                found += _alike(leaders, held)
-                held = []
+                if now != bucket:
+                    bucket, leaders = now, []
+                (leaders if leads else held).append((key, sketched))
             yield pd.DataFrame(found, columns=["a", "b"])
-        yield pd.DataFrame(_alike(held, held), columns=["a", "b"])
+        yield pd.DataFrame(_alike(leaders or held, held), columns=["a", "b"])
 
-    schema = "path long, part int, small boolean, key binary, leads boolean, sketch binary"
+    columns = ["path", "part", "leads", "key", "sketch"]
+    schema = "path long, part int, leads boolean, key binary, sketch binary"
     rows = own.unionByName(leading).join(sets.select("key", "tokens"), "key")
-    sketched = rows.select("path", "part", "small", "key", "leads", "tokens").mapInPandas(sketch, schema)
+    sketched = rows.select("path", "part", "leads", "key", "tokens").mapInPandas(sketch, schema)
     dealt = sketched.repartition("path", "part").sortWithinPartitions("path", "part", F.desc("leads"), "key")
     return dealt.mapInPandas(compare, "a binary, b binary")
 

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from eventloom.llm import bpe, fingerprints, language, packing, quality, scoring, sharding, urls
+from eventloom.llm import (
+    bpe,
+    fingerprints,
+    jaccard,
+    language,
+    packing,
+    quality,
+    repeats,
+    scoring,
+    sharding,
+    urls,
+)
 
 QUERIES = {
     f.__name__: f
@@ -13,8 +24,10 @@ QUERIES = {
         quality.op4_quality_rules,
         scoring.op5_stupid_backoff,
         bpe.op6_bpe_prefixes,
+        repeats.op7_bucket_refinement,
         fingerprints.op8_spot_signatures,
         language.op9_cross_parsing_language,
+        jaccard.op10_chosen_path_join,
     )
 }
 ORACLES: dict[str, str] = {
