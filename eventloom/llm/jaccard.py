@@ -26,6 +26,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom.functions.storage import materialise
 from eventloom.llm.base import Memo, arrays, documents, id_and_text, mix, shingle_hashes, ship_package
@@ -304,7 +305,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
             keys = [set_key(ngram_set(t or "")) for t in batch.column(at).to_pylist()]
             yield batch.append_column("chosen path key", pa.array(keys, pa.binary()))
 
-    rows = docs.mapInArrow(add_key, docs.schema.add("chosen path key", "binary"))
+    rows = docs.mapInArrow(add_key, T.StructType([*docs.schema.fields, T.StructField("chosen path key", T.BinaryType())]))
     keyed = materialise(_keyed(docs), "keyed")
     roots, _ = _classes(docs)
     sets = keyed.groupBy("key").agg(F.min("doc_id").alias("first"))

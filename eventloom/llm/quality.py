@@ -156,9 +156,14 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that pass, with their own columns."""
+    """The documents that pass, with their own columns.
+
+    A filter on ``kept`` would be pushed below the steps that compute it and repeat them for
+    every word; a generator is not, and passes on the row or nothing.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return judge(docs, labels).filter("kept").select("row.*")
+    passed = F.explode_outer(F.when(F.col("kept"), F.array("row")))
+    return judge(docs, labels).select(passed.alias("row")).filter("row IS NOT NULL").select("row.*")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
