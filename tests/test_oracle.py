@@ -21,6 +21,7 @@ TYPES = {
     "int": "INTEGER",
     "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
 }
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="needs the generated tables")
