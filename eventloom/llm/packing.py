@@ -1,17 +1,17 @@
 """Best-fit packing of token pieces into sequences, improved by swap-based local search.
 
 Pieces are dealt evenly to tasks; a task packs groups of at most ``GROUP`` pieces.  In each
-group a best-fit pass makes bins, then the emptiest bin gives its pieces away: a piece
-moves, or is exchanged for one smaller piece, for two whose sum is smaller, or two of its
-pieces for one.  Each step takes fill from the emptiest bin to a fuller one, so the sum of
-squared fills grows and the search ends.  It stops when the others have less room together
-than the emptiest bin holds: then no bin can be saved in that group.
+group a best-fit pass makes bins.  Then underfull bins exchange pieces, one for one, two for
+one or one for nothing, always so that the fuller bin gains: the sum of squared fills grows,
+so the search ends, and room gathers in ever fewer bins until they are empty.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import itertools
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -29,10 +29,8 @@ VOCABULARY = "word_bpe_49k.json"
 SEPARATOR = 1
 #: Pieces packed together, and pieces dealt to one task, at most.
 GROUP, TASK_ROWS = 1 << 15, 1 << 18
-#: Emptiest bins that may fail to empty, one after the other, before a group's search ends.
-PATIENCE = 30
-#: Words whose ids a task remembers.
-REMEMBERED = 200_000
+#: Units and words whose ids a task remembers, each.
+REMEMBERED = 600_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -48,23 +46,40 @@ def tokenizer(name: str):
 
 
 class WordIds:
-    """Little-endian 32-bit ids of a text, through a memory of the words seen before.
+    """Little-endian 32-bit ids of a text, through memories of text and words seen before.
 
-    The vocabulary drops white space before it splits, so no token spans it and a text's
-    ids are those of its words, in order.
+    The vocabulary drops white space before it splits, so no token spans it: a text's ids
+    are those of its units between white space, and a unit's those of the words in it.
+    Printable ASCII is split here, the rest by the tokenizer's own parts; words are encoded
+    by the tokenizer's model.
     """
 
     def __init__(self, name: str):
         import regex
 
-        encode = tokenizer(name).encode
-        self.memo = Memo(lambda w: np.array(encode(w, add_special_tokens=False).ids, "<u4").tobytes(), REMEMBERED)
+        self.whole = tokenizer(name)
+        self.unit = Memo(self._unit, REMEMBERED)
+        self.word = Memo(self._word, REMEMBERED)
         self.blanks = regex.compile(r"\p{White_Space}+")
+        self.split = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+
+    def _word(self, word: str) -> bytes:
+        return np.array([t.id for t in self.whole.model.tokenize(word)], "<u4").tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        if "<|" in unit:  # may hold special tokens
+            return np.array(self.whole.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
+        if unit.isascii() and unit.isprintable():
+            words = self.split(unit.lower())
+        else:
+            normal = self.whole.normalizer.normalize_str(unit)
+            words = [w for w, _ in self.whole.pre_tokenizer.pre_tokenize_str(normal)]
+        return b"".join(map(self.word.__getitem__, words))
 
     def __call__(self, text: str) -> bytes:
         odd = any(c in text for c in INFORMATION_SEPARATORS)
-        words = [w for w in self.blanks.split(text) if w] if odd else text.split()
-        return b"".join(map(self.memo.__getitem__, words))
+        units = [u for u in self.blanks.split(text) if u] if odd else text.split()
+        return b"".join(map(self.unit.__getitem__, units))
 
 
 @functools.cache
@@ -119,75 +134,76 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 class LocalSearch:
-    """Empties bins by moves and exchanges between underfull bins."""
+    """Fills underfull bins to the brim at the cost of emptier ones, until bins are empty.
+
+    Bins take their turn from the fullest on.  One takes a piece, takes a piece for one or
+    two smaller ones of its own, or takes two pieces of the emptiest bin for none or one of
+    its own; of all these the exchange is made that fills it most.
+    """
 
     def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int):
         self.lengths, self.bins, self.capacity = lengths, bins, capacity
-        self.room = np.array([capacity - sum(lengths[i] for i in b) for b in bins], np.int64)
+        self.fill = [sum(lengths[i] for i in b) for b in bins]
+        self.owner = {i: b for b, items in enumerate(bins) for i in items}
 
     def run(self) -> list[list[int]]:
-        stuck: set[int] = set()
-        while len(stuck) < PATIENCE:
-            donors = [b for b in np.flatnonzero(self.room > 0) if self.bins[b] and b not in stuck]
-            if not donors:
-                break
-            donor = max(donors, key=lambda b: self.room[b])
-            fill = self.capacity - self.room[donor]
-            if self.room[self._others(donor)].sum() < fill:
+        slack = sum(self.capacity - f for f in self.fill)
+        order = sorted((b for b, f in enumerate(self.fill) if f < self.capacity), key=lambda b: -self.fill[b])
+        self.pool = sorted((self.lengths[i], i) for b in order for i in self.bins[b])
+        self.emptiest = order[::-1]
+        for receiver in order:
+            # With less room in all than one bin has, no bin can be saved.
+            if slack < self.capacity:
                 break
-            while self.bins[donor] and self._step(donor):
-                pass
-            if self.bins[donor]:
-                stuck.add(donor)
-            else:
-                self.room[donor] = 0  # gone: it takes nothing any more
+            if not self.bins[receiver]:
+                continue
+            for i in self.bins[receiver]:
+                self._leave_pool(i)
+            while self.fill[receiver] < self.capacity and (found := self._best(receiver)):
+                slack -= self.capacity * self._exchange(receiver, *found)
         return [b for b in self.bins if b]
 
-    def _others(self, donor: int) -> np.ndarray:
-        others = self.room > 0
-        others[donor] = False
-        return np.flatnonzero(others)
-
-    def _step(self, donor: int) -> bool:
-        others = self._others(donor)
-        if not len(others):
-            return False
-        own = sorted(self.bins[donor], key=lambda i: -self.lengths[i])
-        for i in own:
-            fits = others[self.room[others] >= self.lengths[i]]
-            if len(fits):
-                return self._exchange(donor, [i], fits[np.argmin(self.room[fits])], [])
-        owner = np.repeat(others, [len(self.bins[b]) for b in others])
-        item = np.fromiter(itertools.chain.from_iterable(self.bins[b] for b in others), np.int64, len(owner))
-        size = np.asarray(self.lengths, np.int64)[item]
-        for given in itertools.chain(((i,) for i in own), itertools.combinations(own, 2)):
-            gain = sum(self.lengths[i] for i in given) - size
-            at = self._best(gain, owner, donor)
-            if at is not None:
-                return self._exchange(donor, given, owner[at], [int(item[at])])
-        pairs = [(b, p) for b in others for p in itertools.combinations(self.bins[b], 2)]
-        if pairs:
-            owner = np.array([b for b, _ in pairs])
-            size = np.array([self.lengths[p] + self.lengths[q] for _, (p, q) in pairs])
-            for i in own:
-                at = self._best(self.lengths[i] - size, owner, donor)
-                if at is not None:
-                    return self._exchange(donor, [i], owner[at], pairs[at][1])
-        return False
-
-    def _best(self, gain: np.ndarray, owner: np.ndarray, donor: int) -> int | None:
-        """The exchange that takes most from the donor, among those that raise squared fill."""
-        ok = (gain > 0) & (gain <= self.room[owner]) & (self.room[owner] - gain < self.room[donor])
-        return int(np.argmax(np.where(ok, gain, 0))) if ok.any() else None
-
-    def _exchange(self, donor: int, given: Iterable[int], to: int, taken: Iterable[int]) -> bool:
-        given, taken = list(given), list(taken)
-        moved = sum(self.lengths[i] for i in given) - sum(self.lengths[i] for i in taken)
-        self.bins[donor] = [i for i in self.bins[donor] if i not in given] + taken
-        self.bins[to] = [i for i in self.bins[to] if i not in taken] + given
-        self.room[donor] += moved
-        self.room[to] -= moved
-        return True
+    def _best(self, receiver: int) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
+        """What the receiver gives and takes."""
+        room, fill, best, found = self.capacity - self.fill[receiver], self.fill[receiver], 0, None
+        own = self.bins[receiver]
+        while not self.bins[self.emptiest[0]]:
+            self.emptiest.pop(0)
+        for given in itertools.chain(((),), ((i,) for i in own), itertools.combinations(own, 2)):
+            base = sum([self.lengths[i] for i in given])
+            at = bisect.bisect_right(self.pool, (base + room, len(self.lengths))) - 1
+            if at >= 0 and (gain := self.pool[at][0] - base) > best:
+                if fill + gain > self.fill[self.owner[self.pool[at][1]]]:  # squared fill grows
+                    best, found = gain, (given, (self.pool[at][1],))
+                    if best == room:
+                        return found
+        last = self.emptiest[0]
+        for taken in itertools.combinations(self.bins[last] if last != receiver else [], 2):
+            whole = sum([self.lengths[i] for i in taken])
+            for given in itertools.chain(((),), ((i,) for i in own)):
+                gain = whole - sum([self.lengths[i] for i in given])
+                if best < gain <= room:
+                    best, found = gain, (given, taken)
+        return found
+
+    def _leave_pool(self, item: int) -> None:
+        del self.pool[bisect.bisect_left(self.pool, (self.lengths[item], item))]
+
+    def _exchange(self, receiver: int, given: tuple[int, ...], taken: tuple[int, ...]) -> bool:
+        """Whether the bin that gave the taken pieces is empty now."""
+        donor = self.owner[taken[0]]
+        for items, source, target in ((taken, donor, receiver), (given, receiver, donor)):
+            for i in items:
+                self.bins[source].remove(i)
+                self.bins[target].append(i)
+                self.fill[source] -= self.lengths[i]
+                self.fill[target] += self.lengths[i]
+                self.owner[i] = target
+        for i in taken:
+            self._leave_pool(i)
+        for i in given:
+            bisect.insort(self.pool, (self.lengths[i], i))
+        return not self.bins[donor]
 
 
 def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
