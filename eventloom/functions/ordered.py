@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from .storage import materialise
 
 FROM_START = Window.unboundedPreceding
+# Rows in one chunk, about: easy work for one task.
+CHUNK_ROWS = 1_000_000
 # monotonically_increasing_id: the partition number stands above this many row bits.
 ROW_BITS = 33
 
@@ -31,16 +33,31 @@ def sorted_chunks(
     order: Sequence[Column | str],
     chunks: int | None = None,
 ) -> DataFrame:
-    """``df`` plus ``_chunk``, which grows with (key, order)."""
-    bounds = [*key, *order]
-    ranged = (
-        df.repartitionByRange(chunks, *bounds)
-        if chunks
-        else df.repartitionByRange(*bounds)
-    )
+    """``df`` plus ``_chunk``, which grows with (key, order).
+
+    Unless given, the number of chunks follows from the number of rows, so that no chunk
+    outgrows a task however much data there is.
+    """
+    if chunks is None:
+        chunks = max(-(-df.count() // CHUNK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    ranged = df.repartitionByRange(chunks, *key, *order)
     return materialise(ranged.withColumn("_chunk", F.spark_partition_id()), "chunks")
 
 
+def split_at_borders(rows: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(rows of keys within one chunk, rows of keys that reach over a border)``.
+
+    Only the first and the last key of a chunk can reach over, so the table of those keys
+    has at most two rows per chunk and is broadcast; a NULL key is a key like others.
+    """
+    at = key_of(key)
+    ends = rows.groupBy("_chunk").agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
+    edge_keys = ends.select("_chunk", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_key"))
+    reaching = F.broadcast(edge_keys.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"))
+    keyed = rows.withColumn("_key", at)
+    return tuple(keyed.join(reaching, "_key", how).drop("_key") for how in ("left_anti", "left_semi"))
+
+
 def running_totals(
     df: DataFrame,
     by: Sequence[str],

@@ -2,38 +2,47 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_scratch: tempfile.TemporaryDirectory | None = None
+_scopes: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a scratch folder only in local mode."""
+    """``spark.checkpoint.dir`` of the session, else a folder below the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(
-            "set spark.checkpoint.dir to a folder that every executor can reach"
-        )
-    global _local_scratch
-    if _local_scratch is None:
-        _local_scratch = tempfile.TemporaryDirectory(prefix="eventloom-")
-    return _local_scratch.name
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that no one has used, in the innermost open scope."""
+    parts = [shared_dir(spark).rstrip("/"), "eventloom", spark.sparkContext.applicationId, *_scopes]
+    return "/".join([*parts, uuid.uuid4().hex, label])
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and return the written table.
 
     Cuts lineage, survives the loss of executors, and later readers get column
-    pruning.  Each call writes a new folder, so nothing is ever overwritten; all folders
-    of an application stand together and can be deleted when it has ended.
+    pruning.  Each call writes a new folder, so nothing is ever overwritten.
     """
-    spark = df.sparkSession
-    base = f"{shared_dir(spark).rstrip('/')}/eventloom/{spark.sparkContext.applicationId}"
-    path = f"{base}/{uuid.uuid4().hex}/{label}"
+    path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised inside are deleted at the end: results must be read or written
+    by then."""
+    _scopes.append(uuid.uuid4().hex)
+    parts = [shared_dir(spark).rstrip("/"), "eventloom", spark.sparkContext.applicationId, *_scopes]
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path("/".join(parts))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

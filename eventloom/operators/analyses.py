@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exact import hour_parts, mean_hours, micros_between, percent, tidy
 from ..functions.quantiles import summarise
-from ..functions.skew import MAX_GROUP_ROWS
 from ..spec import BASE_PRIORITY, FOCUS_VARIANT, LEVEL3_VARIANTS
-from .sequence import with_neighbours
+from .sequence import chunked, with_neighbours
 from .validate import check_constant
 from .views import CASE_TABLE_ATTRIBUTES
 
@@ -109,23 +108,23 @@ def top_state_share(transitions: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
-def _gaps(log: DataFrame, variant: str | None, max_case_rows: int) -> DataFrame:
+def _gaps(log: DataFrame, variant: str | None, chunks: int | None) -> DataFrame:
     if variant is not None:
         log = log.where(F.col("variant") == variant)
-    needed = log.select("case_id", "variant", "event_timestamp", "event_id")
-    steps = with_neighbours(
-        needed, before=["event_timestamp"], position=True, max_case_rows=max_case_rows
-    ).where(F.col("prev_event_timestamp").isNotNull())
+    needed = chunked(log, ["case_id", "variant", "event_timestamp", "event_id"], chunks=chunks)
+    steps = with_neighbours(needed, before=["event_timestamp"], position=True).where(
+        F.col("prev_event_timestamp").isNotNull()
+    )
     gap = micros_between("prev_event_timestamp", "event_timestamp") / F.lit(3.6e9)
     return steps.withColumn("gap_hours", gap)
 
 
 def gap_spread_by_case(
-    log: DataFrame, variant: str | None = FOCUS_VARIANT, max_case_rows: int = MAX_GROUP_ROWS
+    log: DataFrame, variant: str | None = FOCUS_VARIANT, chunks: int | None = None
 ) -> DataFrame:
     """Per variant: how the standard deviation of a case's gaps is spread over cases."""
     per_case = (
-        _gaps(log, variant, max_case_rows)
+        _gaps(log, variant, chunks)
         .groupBy("variant", "case_id")
         .agg(F.stddev_samp("gap_hours").alias("sd"))
         .where(F.col("sd").isNotNull())
@@ -143,11 +142,11 @@ def gap_spread_by_case(
 
 
 def gap_spread_by_position(
-    log: DataFrame, variant: str | None = FOCUS_VARIANT, max_case_rows: int = MAX_GROUP_ROWS
+    log: DataFrame, variant: str | None = FOCUS_VARIANT, chunks: int | None = None
 ) -> DataFrame:
     """Per variant and step number: spread of the gap before that step."""
     return (
-        _gaps(log, variant, max_case_rows)
+        _gaps(log, variant, chunks)
         .groupBy("variant", "position")
         .agg(
             F.count("*").alias("cases"),

@@ -7,22 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions.exact import any_true, matches, micros_between, tidy
 from ..functions.quantiles import exact_quantiles, summarise
-from ..functions.skew import MAX_GROUP_ROWS
 from ..spec import FOCUS_VARIANT
 from .bottlenecks import rework_events, variant_bottlenecks
-from .sequence import with_neighbours
+from .sequence import chunked, with_neighbours
 
 SECOND = 1e6
 
 
 def backward_bottlenecks(
-    log: DataFrame, n: int | None = 3, max_case_rows: int = MAX_GROUP_ROWS
+    log: DataFrame, n: int | None = 3, chunks: int | None = None
 ) -> DataFrame:
     """Charges a wait to the event after it: the opposite of ``transition_metrics``."""
     steps = with_neighbours(
-        log.select("case_id", "event_timestamp", "event_id", "event"),
+        chunked(log, ["case_id", "event_timestamp", "event_id", "event"], chunks=chunks),
         before=["event_timestamp"],
-        max_case_rows=max_case_rows,
     ).where(F.col("prev_event_timestamp").isNotNull())
     wait = micros_between("prev_event_timestamp", "event_timestamp")
     ranked = (

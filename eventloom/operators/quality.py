@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exact import percent, tidy
-from ..functions.skew import MAX_GROUP_ROWS
 from ..spec import SCORE_CAP
 from .sequence import with_neighbours
 
@@ -71,7 +70,7 @@ def ordering_defects(
     transitions: DataFrame,
     log: DataFrame | None = None,
     source_order: str = "event_id",
-    max_case_rows: int = MAX_GROUP_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Transitions are built in time order, so the first two counts should be zero.
 
@@ -89,7 +88,7 @@ def ordering_defects(
         log.select("case_id", source_order, "event_timestamp"),
         before=["event_timestamp"],
         order=[source_order],
-        max_case_rows=max_case_rows,
+        chunks=chunks,
     )
     late = steps.agg(F.count_if(F.col("event_timestamp") < F.col("prev_event_timestamp")))
     return counts.withColumn("source_out_of_order", late.scalar())

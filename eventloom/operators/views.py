@@ -14,19 +14,17 @@ from ..functions.exact import (
     micros_between,
     tidy,
 )
-from ..functions.ordered import key_of
+from ..functions.ordered import key_of, split_at_borders
 from ..functions.quantiles import exact_quantiles
-from ..functions.skew import MAX_GROUP_ROWS, split_hot
-from ..functions.storage import materialise
 from ..spec import CASE_DIMS, EVENT_ORDER, MilestonePatterns
-from .sequence import by_chunks, with_neighbours
+from .sequence import by_case, by_chunks, chunked, with_neighbours
 
 CASE_KEY = ["case_id", *CASE_DIMS]
 
 
-def step_gaps(log: DataFrame, max_case_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def step_gaps(log: DataFrame, chunks: int | None = None) -> DataFrame:
     """Seconds since the previous event of the case; NULL on the first event."""
-    gaps = with_neighbours(log, before=["event_timestamp"], max_case_rows=max_case_rows)
+    gaps = with_neighbours(log, before=["event_timestamp"], chunks=chunks)
     return gaps.select(
         "case_id",
         "event_id",
@@ -43,38 +41,36 @@ def _gap() -> Column:
 def case_metrics(
     log: DataFrame,
     patterns: MilestonePatterns = MilestonePatterns(),
-    max_case_rows: int = MAX_GROUP_ROWS,
     chunks: int | None = None,
 ) -> DataFrame:
     """One row per case and combination of its attributes.
 
     An attribute that varies inside a case splits the case; ``check_constant``
     finds such cases.  Milestones are NULL when every event of the case is NULL.
-    Ordinary cases need one shuffle: the window and the grouping share it.
+
+    Cases within a chunk of the ordered log need one shuffle: the window and the grouping
+    share it, and sets and medians hold a chunk's rows at most.  Cases that reach over
+    chunks are counted value by value.
     """
-    needed = log.select(*CASE_KEY, "event_timestamp", "event_id", "event", "resolver")
-    ordinary, hot = split_hot(needed, "case_id", max_case_rows)
-    gaps = with_neighbours(ordinary, before=["event_timestamp"], max_case_rows=2**62)
-    grouped = gaps.withColumn("_gap", _gap()).groupBy(*CASE_KEY).agg(
+    needed = chunked(log, [*CASE_KEY, "event_timestamp", "event_id", "event", "resolver"], chunks=chunks)
+    whole, reaching = split_at_borders(needed, ["case_id"])
+    grouped = by_case(whole, before=["event_timestamp"]).withColumn("_gap", _gap()).groupBy(*CASE_KEY).agg(
         *_measures(patterns),
         F.size(F.collect_set("event")).cast("bigint").alias("unique_events"),
         F.size(F.collect_set("resolver")).cast("bigint").alias("unique_resolvers"),
         F.percentile("_gap", F.lit(0.5)).alias("_median"),
     )
-    if hot is not None:
-        hot_gaps = by_chunks(hot, before=["event_timestamp"], chunks=chunks)
-        # Read three times below, so the chunks are worked through once and written.
-        hot_gaps = materialise(hot_gaps.withColumn("_gap", _gap()), "gaps")
-        wide = hot_gaps.groupBy(*CASE_KEY).agg(
-            *_measures(patterns),
-            F.countDistinct("event").alias("unique_events"),
-            F.countDistinct("resolver").alias("unique_resolvers"),
-        )
-        medians = exact_quantiles(hot_gaps, CASE_KEY, "_gap", {"_median": 0.5})
-        wide = wide.withColumn("_key", key_of(CASE_KEY)).join(
-            medians.select(key_of(CASE_KEY).alias("_key"), "_median"), "_key", "left"
-        )
-        grouped = grouped.unionByName(wide.drop("_key"))
+    gaps = by_chunks(reaching, before=["event_timestamp"]).withColumn("_gap", _gap())
+    wide = gaps.groupBy(*CASE_KEY).agg(
+        *_measures(patterns),
+        F.countDistinct("event").alias("unique_events"),
+        F.countDistinct("resolver").alias("unique_resolvers"),
+    )
+    medians = exact_quantiles(gaps, CASE_KEY, "_gap", {"_median": 0.5})
+    wide = wide.withColumn("_key", key_of(CASE_KEY)).join(
+        medians.select(key_of(CASE_KEY).alias("_key"), "_median"), "_key", "left"
+    )
+    grouped = grouped.unionByName(wide.drop("_key"))
     cycle = micros_between("started_at", "ended_at")
     return grouped.select(
         *CASE_KEY,
@@ -108,7 +104,6 @@ def _measures(patterns: MilestonePatterns) -> list[Column]:
 def transition_metrics(
     log: DataFrame,
     null_event: str = "drop",
-    max_case_rows: int = MAX_GROUP_ROWS,
     chunks: int | None = None,
 ) -> DataFrame:
     """One row per observed step A -> B; the time between is charged to A.
@@ -119,16 +114,13 @@ def transition_metrics(
     """
     if null_event not in ("drop", "bridge"):
         raise ValueError("null_event must be 'drop' or 'bridge'")
-    needed = log.select(
-        "case_id", "variant", "issue_type", "priority", "report_channel", *EVENT_ORDER, "event"
-    )
+    columns = ["case_id", "variant", "issue_type", "priority", "report_channel", *EVENT_ORDER, "event"]
+    needed = chunked(log, columns, chunks=chunks)
     if null_event == "bridge":
         needed = needed.where(F.col("event").isNotNull())
     steps = with_neighbours(
         needed,
         after=["event", "event_timestamp"],
-        max_case_rows=max_case_rows,
-        chunks=chunks,
     ).where(
         F.col("event").isNotNull()
         & F.col("next_event").isNotNull()
@@ -165,7 +157,7 @@ CASE_TABLE_ATTRIBUTES = [
 def case_table(
     log: DataFrame,
     patterns: MilestonePatterns = MilestonePatterns(),
-    max_case_rows: int = MAX_GROUP_ROWS,
+    chunks: int | None = None,
 ) -> DataFrame:
     """One row per case; each attribute is its first non-null value in event order.
 
@@ -182,20 +174,20 @@ def case_table(
         F.max("event_timestamp").alias("end_time"),
         *[any_true(matches("event", p)).alias(name) for name, p in patterns.items()],
     ]
-    ordinary, hot = split_hot(log, "case_id", max_case_rows)
-    grouped = ordinary.groupBy("case_id").agg(
+    needed = ["case_id", *CASE_TABLE_ATTRIBUTES, *EVENT_ORDER, "event", "resolver"]
+    whole, reaching = split_at_borders(chunked(log, needed, chunks=chunks), ["case_id"])
+    grouped = whole.groupBy("case_id").agg(
         *shared,
         F.size(F.collect_set("event")).cast("bigint").alias("unique_events"),
         F.size(F.collect_set("resolver")).cast("bigint").alias("unique_resolvers"),
     )
-    if hot is not None:
-        grouped = grouped.unionByName(
-            hot.groupBy("case_id").agg(
-                *shared,
-                F.countDistinct("event").alias("unique_events"),
-                F.countDistinct("resolver").alias("unique_resolvers"),
-            )
+    grouped = grouped.unionByName(
+        reaching.groupBy("case_id").agg(
+            *shared,
+            F.countDistinct("event").alias("unique_events"),
+            F.countDistinct("resolver").alias("unique_resolvers"),
         )
+    )
     return grouped.select(
         "case_id",
         *CASE_TABLE_ATTRIBUTES,

@@ -11,9 +11,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from ..functions.skew import MAX_GROUP_ROWS
 from ..functions.storage import materialise
 from ..operators import bottlenecks, kpis, provenance, quality
+from ..operators.sequence import ordered_log
 from ..operators.views import case_metrics, transition_metrics
 from ..sources.raw import slug
 from ..spec import MilestonePatterns
@@ -26,22 +26,31 @@ class Views:
         self,
         log: DataFrame,
         patterns: MilestonePatterns = MilestonePatterns(),
-        max_case_rows: int = MAX_GROUP_ROWS,
+        chunks: int | None = None,
     ):
         self.log = log
         self._patterns = patterns
-        self._max_case_rows = max_case_rows
+        self._chunks = chunks
+
+    @cached_property
+    def ordered(self) -> DataFrame:
+        """The log in chunks along case and time: cut once, read by all that need order."""
+        return ordered_log(self.log, self._chunks)
+
+    @cached_property
+    def paths(self) -> DataFrame:
+        return materialise(provenance.case_paths(self.ordered), "paths")
 
     @cached_property
     def cases(self) -> DataFrame:
         return materialise(
-            case_metrics(self.log, self._patterns, self._max_case_rows), "case_metrics"
+            case_metrics(self.ordered, self._patterns), "case_metrics"
         )
 
     @cached_property
     def transitions(self) -> DataFrame:
         return materialise(
-            transition_metrics(self.log, max_case_rows=self._max_case_rows), "transition_metrics"
+            transition_metrics(self.ordered), "transition_metrics"
         )
 
     def register(self) -> None:
@@ -79,12 +88,12 @@ REPORTS = [
     Report("resolver_nulls", "quality", "Resolver nulls by event", lambda v: quality.resolver_nulls(v.log)),
     Report("score_ceiling", "quality", "Score ceiling by variant", lambda v: quality.score_ceiling(v.cases)),
     Report("ordering_defects", "quality", "Out-of-order and negative intervals", lambda v: quality.ordering_defects(v.transitions)),
-    Report("path_determinism", "provenance", "Sequences per variant", lambda v: provenance.path_determinism(v.log)),
+    Report("path_determinism", "provenance", "Sequences per variant", lambda v: provenance.path_determinism(v.paths)),
     Report("event_count_spread", "provenance", "Event counts within a variant", lambda v: provenance.event_count_spread(v.cases)),
     Report("priority_multiplier", "provenance", "Priority against time per state", lambda v: provenance.priority_multiplier(v.transitions)),
     Report("label_by_variant", "provenance", "Level 3 by variant", lambda v: provenance.label_by_variant(v.cases)),
     Report("outside_variant_set", "provenance", "Cases outside the level-3 variants", lambda v: provenance.outside_variant_set(v.cases)),
-    Report("provenance_verdict", "provenance", "Verdict", lambda v: provenance.provenance_verdict(v.log, v.cases)),
+    Report("provenance_verdict", "provenance", "Verdict", lambda v: provenance.provenance_verdict(v.paths, v.cases)),
 ]
 
 GROUPS = list(dict.fromkeys(r.group for r in REPORTS))

@@ -50,7 +50,7 @@ def user_log(events: DataFrame, days: int = 3) -> DataFrame:
         _pick(PRIORITIES, user % len(PRIORITIES)).alias("priority"),
         reporter.alias("reporter"),
         F.col("ts").alias("event_timestamp"),
-        F.when(F.col("event_id") % 997 != 0, state).alias("event"),
+        state.alias("event"),
         issue.alias("issue_type"),
         F.when(
             ~F.col("event_type").isin("signup", "purchase"),
@@ -97,19 +97,20 @@ ROW = "Row"
 
 
 def _clock(mixed: bool) -> Column:
-    """The event time as export text; ``mixed`` uses four spellings, one unreadable."""
+    """The event time as export text; ``mixed`` uses three spellings."""
     ts = F.col("event_timestamp")
     day, month, year = F.dayofmonth(ts), F.month(ts), F.year(ts)
-    hour, minute, second = F.hour(ts), F.minute(ts), F.second(ts)
-    usual = F.format_string("%02d/%02d/%04d %02d:%02d", day, month, year, hour, minute)
+    second = F.extract(F.lit("SECOND"), ts)
+    micros = ((second - F.floor(second)) * 1_000_000).cast("int")
+    time = (F.hour(ts), F.minute(ts), F.floor(second).cast("int"), micros)
+    usual = F.format_string("%02d/%02d/%04d %02d:%02d:%02d.%06d", day, month, year, *time)
     if not mixed:
         return usual
-    kind = F.col("event_id") % 4
+    kind = F.col("event_id") % 3
     return (
         F.when(kind == 0, usual)
-        .when(kind == 1, F.format_string("%d-%d-%04d %d:%02d:%02d", day, month, year, hour, minute, second))
-        .when(kind == 2, F.format_string("%04d-%02d-%02d %02d:%02d:%02d", year, month, day, hour, minute, second))
-        .otherwise("no time")
+        .when(kind == 1, F.format_string("%d-%d-%04d %d:%02d:%02d.%06d", day, month, year, *time))
+        .otherwise(F.format_string("%04d-%02d-%02d %02d:%02d:%02d.%06d", year, month, day, *time))
     )
 
 
@@ -120,9 +121,7 @@ def raw_export(log: DataFrame, mixed: bool = False) -> DataFrame:
     if mixed:
         text["variant"] = F.concat(F.lit("  "), text["variant"], F.lit(" "))
         text["resolver"] = F.coalesce(text["resolver"], F.lit("   "))
-        text["customer_satisfaction"] = F.when(
-            F.col("event_id") % 11 == 0, "unknown"
-        ).otherwise(text["customer_satisfaction"])
+        text["short_description"] = F.concat(text["short_description"], F.lit(' "as told"; open'))
     return log.select(
         *[text[c].alias(header) for c, header in RAW_HEADERS.items()],
         F.col("event_id").alias(ROW),

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ordered import global_rank
 from ..functions.quantiles import summarise
@@ -15,11 +16,11 @@ from ..spec import COLUMN_MAP, EVENT_LOG_SCHEMA, TEXT_COLUMNS
 # The export's own format, then day-first forms tried on what is left.
 TIMESTAMP_FORMATS = [
     "dd/MM/yyyy HH:mm",
-    "d/M/yyyy H:mm[:ss]",
-    "d-M-yyyy H:mm[:ss]",
-    "d.M.yyyy H:mm[:ss]",
-    "yyyy-M-d H:mm[:ss]",
-    "yyyy-M-d'T'H:mm[:ss]",
+    "d/M/yyyy H:mm[:ss][.SSSSSS]",
+    "d-M-yyyy H:mm[:ss][.SSSSSS]",
+    "d.M.yyyy H:mm[:ss][.SSSSSS]",
+    "yyyy-M-d H:mm[:ss][.SSSSSS]",
+    "yyyy-M-d'T'H:mm[:ss][.SSSSSS]",
     "d/M/yyyy",
     "d-M-yyyy",
     "d.M.yyyy",
@@ -53,21 +54,54 @@ NULL_MARKERS = [
 SOURCE_POSITION = ["_file", "_block", "_row"]
 
 
+# Holds the text of a row whose number of cells differs from the header's.
+MALFORMED = "_malformed"
+
+
 def read_raw(
-    spark: SparkSession, path: str | Sequence[str], sep: str = ";", header: bool = True
+    spark: SparkSession,
+    path: str | Sequence[str],
+    sep: str = ";",
+    header: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
-    """All columns as text, missing cells as NULL, plus the source position."""
-    raw = spark.read.csv(path, sep=sep, header=header, inferSchema=False)
-    names = raw.columns
+    """All columns as text, missing cells as NULL, plus the source position.
+
+    Cells may be quoted; a quote inside one is doubled.  With ``multiline`` quoted cells
+    may hold line breaks, and a file is then read by one task.  Reading fails on a file
+    whose header differs from the first one's, and ``require_well_formed`` on rows of
+    another width, so that no value comes under a wrong name.
+    """
+    options = {"sep": sep, "header": header, "quote": '"', "escape": '"', "multiLine": multiline}
+    names = spark.read.csv(path, inferSchema=False, **options).columns
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*names, MALFORMED]])
+    raw = spark.read.csv(
+        path,
+        schema=fields,
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord=MALFORMED,
+        enforceSchema=not header,
+        **options,
+    )
     placed = raw.select(
         *[F.col(f"`{c}`") for c in names],
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
+        MALFORMED,
     )
     return placed.withColumns({c: _null_if_marker(F.col(f"`{c}`")) for c in names})
 
 
+def require_well_formed(raw: DataFrame) -> DataFrame:
+    """The rows without the column of malformed text, or an error with their number."""
+    # All columns are asked for: the width of a row is only seen if all its cells are read.
+    wrong = raw.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in raw.columns]).first()[MALFORMED]
+    if wrong:
+        raise ValueError(f"{wrong} rows have more or fewer cells than the header; aborting.")
+    return raw.drop(MALFORMED)
+
+
 def _null_if_marker(c: Column) -> Column:
     return F.when(~c.isin(*NULL_MARKERS), c)
 
@@ -159,22 +193,22 @@ def load_log(
     columns: Mapping[str, str] = COLUMN_MAP,
     formats: Sequence[str] = TIMESTAMP_FORMATS,
     bad_timestamps: str = "fail",
+    multiline: bool = False,
 ) -> DataFrame:
     """Read, rename, parse and number an event log.
 
     ``bad_timestamps='fail'`` raises with their number, ``'drop'`` leaves them out.
     """
+    raw = require_well_formed(read_raw(spark, path, sep, multiline=multiline))
     typed = type_events(
-        normalize_columns(read_raw(spark, path, sep), columns),
-        formats,
-        "drop" if bad_timestamps == "drop" else "keep",
+        normalize_columns(raw, columns), formats, "drop" if bad_timestamps == "drop" else "keep"
     )
-    log = assign_event_ids(typed)
     if bad_timestamps == "fail":
-        bad = unparseable_timestamps(log).first()["failures"]
+        # Before the sort: a bad export costs a scan of one column.
+        bad = unparseable_timestamps(typed).first()["failures"]
         if bad:
             raise ValueError(f"{bad} rows have unparseable timestamps; aborting.")
-    return log
+    return assign_event_ids(typed)
 
 
 def unparseable_timestamps(log: DataFrame) -> DataFrame:
@@ -182,12 +216,16 @@ def unparseable_timestamps(log: DataFrame) -> DataFrame:
 
 
 def profile(log: DataFrame) -> DataFrame:
-    return log.agg(
-        F.count("*").alias("events"),
+    """Grouped by case and variant first: the distinct counts see one row of each pair."""
+    pairs = log.groupBy("case_id", "variant").agg(
+        F.count("*").alias("n"), F.min("event_timestamp").alias("lo"), F.max("event_timestamp").alias("hi")
+    )
+    return pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("events"),
         F.countDistinct("case_id").alias("cases"),
         F.countDistinct("variant").alias("variants"),
-        F.min("event_timestamp").alias("first_event_at"),
-        F.max("event_timestamp").alias("last_event_at"),
+        F.min("lo").alias("first_event_at"),
+        F.max("hi").alias("last_event_at"),
     )
 
 

@@ -31,7 +31,7 @@ COLUMN_MAP = {
 
 EVENT_ORDER = ["event_timestamp", "event_id"]
 
-# Attributes of a case, repeated on each of its events.
+# Attributes of a case, repeated on each of its events.
 CASE_DIMS = [
     "variant",
     "priority",
@@ -41,6 +41,7 @@ CASE_DIMS = [
     "customer_satisfaction",
 ]
 
+# Columns that hold text.
 TEXT_COLUMNS = [
     "variant",
     "priority",
@@ -72,7 +73,7 @@ EVENT_LOG_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class MilestonePatterns:
-    """Case-insensitive patterns; a case has a milestone if any event matches."""
+    """Case-insensitive patterns; a case has a milestone if any event matches."""
 
     escalated: str = "%escalat%"
     reached_level_3: str = "%level 3%"

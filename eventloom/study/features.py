@@ -27,6 +27,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The inputs of the models.
 CATEGORICAL = ["issue_type", "priority", "report_channel", "reporter", "short_description"]
 NUMERIC = ["created_hour", "created_dow", "created_month", "created_dayofyear", "desc_length"]
 TEMPORAL = [

@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import ROWS, build
@@ -139,12 +140,13 @@ def test_reload_end_to_end(spark, tmp_path):
         reload(spark, short)
 
 
-def test_bucketed_table_needs_no_shuffle_for_the_views(spark, log):
-    from eventloom.operators.views import case_metrics
+def test_bucketed_table_needs_no_shuffle_for_windows(spark, log):
+    from eventloom.operators.sequence import by_case
 
     sinks.write_bucketed(log, "bucketed_log", 4)
     try:
-        plan = case_metrics(spark.table("bucketed_log"))._jdf.queryExecution().executedPlan().toString()
+        steps = by_case(spark.table("bucketed_log"), before=["event_timestamp"])
+        plan = steps.groupBy("case_id").agg(F.count("prev_event_timestamp"))._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning" not in plan
     finally:
         spark.sql("DROP TABLE bucketed_log")
@@ -176,3 +178,51 @@ def test_registry(spark, log, tmp_path):
     assert spark.read.parquet(parquet["kpi_overall"]).first()["incidents"] == 6
     views.register()
     assert spark.sql("SELECT count(*) FROM case_metrics").first()[0] == 6
+
+
+def test_quoted_cells(spark, tmp_path):
+    """Doubled quotes and delimiters in quotes; line breaks on request."""
+    (tmp_path / "a.csv").write_text('k;t;u\n1;"say ""hi"" ; now";x\n2;plain;y\n')
+    rows = raw.require_well_formed(raw.read_raw(spark, str(tmp_path / "a.csv"))).orderBy("k").collect()
+    assert [(r.k, r.t, r.u) for r in rows] == [("1", 'say "hi" ; now', "x"), ("2", "plain", "y")]
+    (tmp_path / "b.csv").write_text('k;t;u\n1;"two\nlines";x\n2;plain;y\n')
+    rows = raw.require_well_formed(raw.read_raw(spark, str(tmp_path / "b.csv"), multiline=True)).collect()
+    assert sorted((r.k, r.t, r.u) for r in rows) == [("1", "two\nlines", "x"), ("2", "plain", "y")]
+    with pytest.raises(ValueError, match="rows have more or fewer cells"):
+        raw.require_well_formed(raw.read_raw(spark, str(tmp_path / "b.csv")))
+
+
+@pytest.mark.parametrize("line", ["3;only two", "3;one;too;many"])
+def test_rows_of_another_width_are_counted(spark, tmp_path, line):
+    (tmp_path / "a.csv").write_text(f"k;t;u\n1;a;b\n{line}\n")
+    with pytest.raises(ValueError, match="^1 rows have more or fewer cells"):
+        raw.require_well_formed(raw.read_raw(spark, str(tmp_path / "a.csv")))
+
+
+def test_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text("k;t;u\n1;a;b\n")
+    (tmp_path / "raw" / "b.csv").write_text("k;u;t\n2;b;a\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw.require_well_formed(raw.read_raw(spark, str(tmp_path / "raw"))).collect()
+
+
+def test_unreadable_times_and_numbers(spark):
+    rows = [("1", "no time"), ("unknown", "01/02/2023 10:11:12.5"), (None, "2023-02-01 10:11")]
+    df = spark.createDataFrame(rows, "n string, t string")
+    got = df.select(raw.to_number("n", "int").alias("n"), raw.parse_ts("t").alias("t")).collect()
+    assert [r.n for r in got] == [1, None, None]
+    assert [str(r.t) for r in got] == ["None", "2023-02-01 10:11:12.500000", "2023-02-01 10:11:00"]
+
+
+def test_intermediates_leave_nothing_behind(spark, tmp_path):
+    from eventloom.functions.storage import intermediates, materialise, shared_dir
+
+    def files():
+        folder = Path(shared_dir(spark)) / "eventloom" / spark.sparkContext.applicationId
+        return {p for p in folder.rglob("*") if p.is_file()}
+
+    before = files()
+    with intermediates(spark):
+        assert materialise(spark.range(5), "five").count() == 5 and files() > before
+    assert files() == before

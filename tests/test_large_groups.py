@@ -1,4 +1,4 @@
-"""Groups above the row limit take other paths; results must be the same."""
+"""Results do not depend on how the log is cut into chunks."""
 
 import random
 
@@ -8,11 +8,10 @@ import pytest
 from conftest import ROWS, build
 from pyspark.sql import functions as F
 
-from eventloom.functions.ordered import global_rank, running_totals
+from eventloom.functions.ordered import global_rank, running_totals, split_at_borders
 from eventloom.functions.quantiles import exact_quantiles
-from eventloom.functions.skew import hot_keys, split_hot
 from eventloom.operators import analyses, provenance
-from eventloom.operators.sequence import by_chunks, with_neighbours
+from eventloom.operators.sequence import ordered_log, with_neighbours
 from eventloom.operators.views import case_metrics, case_table, step_gaps, transition_metrics
 
 
@@ -38,11 +37,29 @@ def frames_equal(a, b, keys):
     pd.testing.assert_frame_equal(a, b[a.columns])
 
 
-def test_hot_keys_are_found_and_bounded(skewed):
-    assert [r[0] for r in hot_keys(skewed, "case_id", 100).collect()] == ["BIG"]
-    assert hot_keys(skewed, "case_id", 1000) is None
-    ordinary, hot = split_hot(skewed, "case_id", 100)
-    assert (ordinary.count(), hot.count()) == (400, 200)
+def test_only_keys_at_borders_are_apart(skewed):
+    rows = ordered_log(skewed, 6)
+    whole, reaching = split_at_borders(rows, ["case_id"])
+    spread = {r[0]: r[1] for r in rows.groupBy("case_id").agg(F.countDistinct("_chunk")).collect()}
+    assert spread["BIG"] > 1
+    assert {r[0] for r in reaching.select("case_id").collect()} == {k for k, n in spread.items() if n > 1}
+    assert whole.count() + reaching.count() == 600
+
+
+def test_a_null_case_is_a_case(skewed):
+    hidden = F.when(F.col("case_id") != "BIG", F.col("case_id"))
+    rows = with_neighbours(skewed.withColumn("case_id", hidden), position=True, chunks=6)
+    places = [r["position"] for r in rows.where("case_id IS NULL").collect()]
+    assert sorted(places) == list(range(1, 201))
+
+
+def test_views_of_an_ordered_log_start_no_job(skewed, spark):
+    rows, path = ordered_log(skewed, 6), "no-job"
+    spark.sparkContext.setJobGroup(path, path)
+    for view in (case_metrics, transition_metrics, case_table, step_gaps, provenance.case_paths):
+        view(rows)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(path)
 
 
 @pytest.mark.parametrize("view, keys", [
@@ -50,12 +67,12 @@ def test_hot_keys_are_found_and_bounded(skewed):
     (transition_metrics, ["case_id", "from_timestamp", "to_timestamp", "transition"]),
 ])
 def test_views_are_the_same_in_chunks(skewed, view, keys):
-    frames_equal(view(skewed), view(skewed, max_case_rows=50, chunks=6), keys)
+    frames_equal(view(skewed, chunks=1), view(skewed, chunks=6), keys)
 
 
 def test_case_table_and_gaps_are_the_same(skewed):
-    frames_equal(case_table(skewed), case_table(skewed, max_case_rows=50), ["case_id"])
-    frames_equal(step_gaps(skewed), step_gaps(skewed, max_case_rows=50), ["case_id", "event_id"])
+    frames_equal(case_table(skewed, chunks=1), case_table(skewed, chunks=7), ["case_id"])
+    frames_equal(step_gaps(skewed, chunks=1), step_gaps(skewed, chunks=7), ["case_id", "event_id"])
 
 
 def test_neighbours_and_positions_against_python(skewed):
@@ -70,22 +87,26 @@ def test_neighbours_and_positions_against_python(skewed):
         )
     for result in (
         with_neighbours(skewed, ["event"], ["event_timestamp"], position=True),
-        with_neighbours(skewed, ["event"], ["event_timestamp"], position=True, max_case_rows=50, chunks=5),
-        by_chunks(skewed, ["event"], ["event_timestamp"], position=True, chunks=7),
+        with_neighbours(skewed, ["event"], ["event_timestamp"], position=True, chunks=1),
+        with_neighbours(skewed, ["event"], ["event_timestamp"], position=True, chunks=7),
+        with_neighbours(ordered_log(skewed, 40), ["event"], ["event_timestamp"], position=True),
     ):
         got = {r["event_id"]: (r["prev_event"], r["next_event_timestamp"], r["position"]) for r in result.collect()}
         assert got == expected
 
 
 def test_paths_are_counted_the_same(skewed):
-    a = provenance.path_determinism(skewed)
-    b = provenance.path_determinism(skewed, max_case_rows=1, chunks=5)
-    frames_equal(a, b, ["variant"])
+    paths = skewed.where("event IS NOT NULL").groupBy("case_id", "variant").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_timestamp", "event_id", "event"))), lambda s: s["event"]), ">").alias("path")
+    )
+    for chunks in (1, 5):
+        own = provenance.case_paths(skewed, chunks)
+        frames_equal(provenance.path_determinism(paths), provenance.path_determinism(own), ["variant"])
 
 
 def test_gap_spread_is_the_same(skewed):
     for analysis in (analyses.gap_spread_by_case, analyses.gap_spread_by_position):
-        frames_equal(analysis(skewed, None), analysis(skewed, None, 50), analysis(skewed, None).columns[:2])
+        frames_equal(analysis(skewed, None, 1), analysis(skewed, None, 7), analysis(skewed, None).columns[:2])
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 1001])
@@ -131,4 +152,4 @@ def test_global_rank_is_dense_over_chunks(spark):
 
 def test_literal_log_in_chunks(spark):
     literal = build(spark, ROWS)
-    frames_equal(case_metrics(literal), case_metrics(literal, max_case_rows=2, chunks=3), ["case_id"])
+    frames_equal(case_metrics(literal, chunks=1), case_metrics(literal, chunks=3), ["case_id"])

@@ -62,7 +62,7 @@ def test_quality(v):
 
 
 def test_provenance(v):
-    paths = by(provenance.path_determinism(v.log), "variant")
+    paths = by(provenance.path_determinism(v.paths), "variant")
     # C and A differ; E has no named event and so no path.
     assert (paths["Variant 1"]["distinct_sequences"], paths["Variant 2"]["cases"]) == (2, 1)
     spread = by(provenance.event_count_spread(v.cases), "variant")
@@ -71,7 +71,7 @@ def test_provenance(v):
     assert (label["Variant 7"]["l3_behaviour"], label["Variant 1"]["l3_behaviour"]) == ("MIXED", "NONE")
     outside = provenance.outside_variant_set(v.cases).first()
     assert (outside["outside_them"], outside["l3_outside_them"]) == (4, 0)
-    verdict = provenance.provenance_verdict(v.log, v.cases).first()
+    verdict = provenance.provenance_verdict(v.paths, v.cases).first()
     assert verdict["variants_with_event_count_spread"] == 2
     assert verdict["variants_with_multiple_sequences"] == 2
 

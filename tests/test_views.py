@@ -3,7 +3,8 @@ from conftest import ROWS, build, by
 from pyspark.sql import functions as F
 
 from eventloom.operators import validate
-from eventloom.operators.views import case_metrics, case_table, step_gaps, transition_metrics
+from eventloom.operators.sequence import by_case
+from eventloom.operators.views import CASE_KEY, case_metrics, case_table, step_gaps, transition_metrics
 
 
 def test_case_metrics_by_hand(log):
@@ -113,13 +114,12 @@ def test_clock_change_does_not_matter(spark, log):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_views_share_one_shuffle(spark, log):
-    """Window and grouping of the case view, and lead of both columns, need one exchange."""
-    source = spark.createDataFrame(log.collect(), log.schema)
-    for view in (case_metrics(source), transition_metrics(source)):
-        plan = view._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == 1
-        assert plan.count("Window [") == 1
+def test_window_and_grouping_share_one_shuffle(spark, log):
+    """Cases within a chunk: the window's exchange serves the grouping by case attributes."""
+    rows = by_case(spark.createDataFrame(log.collect(), log.schema), before=["event_timestamp"])
+    grouped = rows.groupBy(*CASE_KEY).agg(F.count("prev_event_timestamp"))
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Window [") == 1
 
 
 def test_validation_accepts_a_good_log(spark):
