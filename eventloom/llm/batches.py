@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from eventloom.functions.storage import shared_dir
+from eventloom.functions.storage import new_folder
 from eventloom.llm.base import arrays, ship_package
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("rest", pa.binary())])
@@ -64,7 +64,7 @@ def bucketed(rows: DataFrame, key: str, parts: int) -> DataFrame:
     only their other side."""
     spark = rows.sparkSession
     name = f"eventloom_{uuid.uuid4().hex}"
-    path = f"{shared_dir(spark).rstrip('/')}/eventloom/{spark.sparkContext.applicationId}/{name}"
+    path = new_folder(spark, name)
     dealt = rows.repartition(parts, key)
     dealt.write.bucketBy(parts, key).option("path", path).option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
