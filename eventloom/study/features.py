@@ -27,6 +27,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import materialise
+
 # The inputs of the models.
 CATEGORICAL = ["issue_type", "priority", "report_channel", "reporter", "short_description"]
 NUMERIC = ["created_hour", "created_dow", "created_month", "created_dayofyear", "desc_length"]
@@ -113,12 +115,35 @@ def term_counts(frame: DataFrame, text: str, ngrams: tuple[int, int] = (1, 2)) -
 def vocabulary(
     frame: DataFrame, text: str, ngrams: tuple[int, int] = (1, 2), terms: int = TERMS
 ) -> DataFrame:
-    """The most frequent terms; equal counts go by the alphabet."""
-    return (
-        term_counts(frame, text, ngrams)
-        .orderBy(F.col("occurrences").desc(), "term")
-        .limit(terms)
-    )
+    """The most frequent terms; equal counts go by the alphabet.
+
+    No run of words is more frequent than its rarest word.  So words are counted first,
+    and only runs of words that reach the count of the last of the ``terms`` most frequent
+    words are counted at all; the others could not enter the list.
+    """
+    low, high = ngrams
+    if low != 1 or high == 1:
+        return _most_frequent(term_counts(frame, text, ngrams), terms)
+    words = materialise(term_counts(frame, text, (1, 1)), "words")
+    least, found = _most_frequent(words, terms).agg(F.min("occurrences"), F.count("*")).first()
+    frequent = words.where(F.col("occurrences") >= (least if found == terms else 1)).select("term")
+    if frequent.count() <= 10 * terms:  # else ties at the least count: left to Spark's estimate
+        frequent = F.broadcast(frequent)
+    counts = words
+    for n in range(2, high + 1):
+        split = frame.select(words_of(text).alias("_words"))
+        count = F.greatest(F.size("_words") - (n - 1), F.lit(0))
+        parts = [F.slice("_words", F.lit(i + 1), count).alias(f"w{i}") for i in range(n)]
+        runs = split.select(F.inline_outer(F.arrays_zip(*parts))).toDF(*[f"w{i}" for i in range(n)])
+        for i in range(n):
+            runs = runs.join(frequent, runs[f"w{i}"] == frequent["term"], "left_semi")
+        counted = runs.groupBy(*runs.columns).agg(F.count("*").alias("occurrences"))
+        counts = counts.unionByName(counted.select(F.concat_ws(" ", *runs.columns).alias("term"), "occurrences"))
+    return _most_frequent(counts, terms)
+
+
+def _most_frequent(counts: DataFrame, terms: int) -> DataFrame:
+    return counts.orderBy(F.col("occurrences").desc(), "term").limit(terms)
 
 
 def tfidf_weights(
