@@ -134,9 +134,9 @@ def _median_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line of every exported report file of one group."""
+    """Every line of every exported report file."""
     folder = f"{shared_dir(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
-    export_reports(Views(_user(spark, sf_dir)), folder, group="kpis")
+    export_reports(Views(_user(spark, sf_dir)), folder)
     lines = spark.read.text(folder, recursiveFileLookup=True)
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
     return lines.select(name.alias("report"), F.col("value").alias("line"))
@@ -179,7 +179,7 @@ def _regression(v: Views) -> DataFrame:
 
 # Models: no SQL says what they should score.
 
-MODEL_LABEL = "escalated"
+MODEL_LABEL = "reached_level_3"
 
 
 def _logreg_evaluation(train: DataFrame, test: DataFrame) -> DataFrame:

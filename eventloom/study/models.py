@@ -118,6 +118,10 @@ def _ordinal(train: DataFrame, features: FeatureSet | FittedFeatures) -> FittedF
     return fit_ordinal(train, features.categorical, features.numeric)
 
 
+# Enough for a bin per day of the year or per level of most columns.
+MAX_BINS = 256
+
+
 def gbt_classifier(
     train: DataFrame,
     label: str,
@@ -136,6 +140,7 @@ def gbt_classifier(
         maxIter=max_iter,
         stepSize=step,
         maxDepth=5,
+        maxBins=MAX_BINS,
         minInstancesPerNode=40,
         validationIndicatorCol="held_back",
         validationTol=0.0,
@@ -160,6 +165,7 @@ def gbt_regressor(
         maxIter=max_iter,
         stepSize=step,
         maxDepth=5,
+        maxBins=MAX_BINS,
         minInstancesPerNode=40,
         validationIndicatorCol="held_back",
         validationTol=0.0,
