@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exact import col, micros_between
 from ..spec import CASE_DIMS
 
 EVENT_KEY = ["case_id", "event_timestamp", "event"]
@@ -99,21 +100,52 @@ def case_count_differences(source: DataFrame, written: DataFrame) -> DataFrame:
     )
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def _extent(log: DataFrame):
+    """One value: number of variants, first and last event in microseconds."""
+    ends = log.groupBy("variant").agg(
+        F.min("event_timestamp").alias("lo"), F.max("event_timestamp").alias("hi")
+    )
+    zero = F.lit(EPOCH).cast("timestamp_ntz")
+    return ends.agg(
+        F.struct(
+            F.count("variant").alias("variants"),
+            micros_between(zero, F.min("lo")).alias("first"),
+            micros_between(zero, F.max("hi")).alias("last"),
+        ).alias("extent")
+    ).scalar()
+
+
 def parity(source: DataFrame, written: DataFrame) -> DataFrame:
-    """Rows, cases and cases of unequal size, as ``(check, source, written, passed)``."""
+    """Rows, cases, cases of unequal size, variants and time range, as
+    ``(check, source, written, passed)``; times are microseconds since 1970."""
     a = source.groupBy("case_id").agg(F.count("*").alias("s"))
     b = written.groupBy("case_id").agg(F.count("*").alias("w"))
-    both = a.join(b, "case_id", "full_outer")
-    one = both.agg(
-        F.coalesce(F.sum("s"), F.lit(0)).alias("s_rows"),
-        F.coalesce(F.sum("w"), F.lit(0)).alias("w_rows"),
-        F.count("s").alias("s_cases"),
-        F.count("w").alias("w_cases"),
-        F.count_if(~F.col("s").eqNullSafe(F.col("w"))).alias("unequal"),
+    one = (
+        a.join(b, "case_id", "full_outer")
+        .agg(
+            F.coalesce(F.sum("s"), F.lit(0)).alias("s_rows"),
+            F.coalesce(F.sum("w"), F.lit(0)).alias("w_rows"),
+            F.count("s").alias("s_cases"),
+            F.count("w").alias("w_cases"),
+            F.count_if(~F.col("s").eqNullSafe(F.col("w"))).alias("unequal"),
+        )
+        .withColumns({"s_extent": _extent(source), "w_extent": _extent(written)})
     )
+    pairs = {
+        "rows": ("s_rows", "w_rows"),
+        "cases": ("s_cases", "w_cases"),
+        "cases of unequal size": (F.lit(0).cast("bigint"), "unequal"),
+        "variants": ("s_extent.variants", "w_extent.variants"),
+        "first event": ("s_extent.first", "w_extent.first"),
+        "last event": ("s_extent.last", "w_extent.last"),
+    }
     lines = F.array(
-        F.struct(F.lit("rows").alias("check"), F.col("s_rows").alias("source"), F.col("w_rows").alias("written")),
-        F.struct(F.lit("cases").alias("check"), F.col("s_cases").alias("source"), F.col("w_cases").alias("written")),
-        F.struct(F.lit("cases of unequal size").alias("check"), F.lit(0).cast("bigint").alias("source"), F.col("unequal").alias("written")),
+        *[
+            F.struct(F.lit(name).alias("check"), col(x).alias("source"), col(y).alias("written"))
+            for name, (x, y) in pairs.items()
+        ]
     )
-    return one.select(F.inline(lines)).withColumn("passed", F.col("source") == F.col("written"))
+    return one.select(F.inline(lines)).withColumn("passed", F.col("source").eqNullSafe(F.col("written")))

@@ -125,7 +125,8 @@ def test_short_write_is_refused_and_readers_keep_the_old_version(spark, log, tmp
 def test_parity_sees_moved_events(log):
     moved = log.withColumn("case_id", F.when(F.col("event_id") == 1, "B").otherwise(F.col("case_id")))
     lines = {r["check"]: r["passed"] for r in validate.parity(log, moved).collect()}
-    assert lines == {"rows": True, "cases": True, "cases of unequal size": False}
+    steady = dict.fromkeys(["rows", "cases", "variants", "first event", "last event"], True)
+    assert lines == steady | {"cases of unequal size": False}
 
 
 def test_reload_end_to_end(spark, tmp_path):
