@@ -35,6 +35,8 @@ ANCHORS = frozenset(
 )
 #: Content words in a chain.
 CHAIN = 2
+#: Jaccard coefficient from which successors count as similar; it sets the length partitions.
+SIMILAR = 0.8
 #: Words whose hashes a task remembers.
 REMEMBERED = 400_000
 #: Smallest signature hashes shown in the fingerprint, besides the digest of all.
@@ -96,6 +98,14 @@ def jaccard(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
     return shared / (len(a) + len(b) - shared)
 
 
+def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> bool:
+    """Whether two sets are as similar as ``least``; only sets of the same or neighbouring
+    length partitions are compared."""
+    if abs(length_partition(len(a), least) - length_partition(len(b), least)) > 1:
+        return False
+    return jaccard(a, b, least) >= least
+
+
 def fingerprint(found: np.ndarray) -> str:
     """Number of signatures, digest of all, and the smallest hashes among them."""
     shown = "".join(f"{int(x) >> 32:08x}" for x in found[:SHOWN])
@@ -147,12 +157,16 @@ def with_following(docs: DataFrame, bytes_each: int = 32 << 20) -> DataFrame:
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
-    """One row per document, beside its edited text and its successor.
+    """One row per document, beside its edited text and its successor; then the partition of
+    its set's length and whether the successor's set is similar.
 
     A null text is empty.  The only document of a table follows itself; repeated rows follow
     each other; an empty table gives an empty result; further columns are ignored.
     """
-    columns = "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next".split()
+    columns = (
+        "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next "
+        "length_partition similar_next"
+    ).split()
 
     def compared(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, held = None, None
@@ -171,7 +185,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return with_following(docs).mapInPandas(
         compared,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double",
+        "near_edited double, near_next double, length_partition int, similar_next boolean",
     )
 
 
@@ -180,7 +194,17 @@ def _compare(doc, text: str, own: np.ndarray, after: str, following: np.ndarray)
     edited = text[: len(text) - half] + after[:half]
     changed = signatures(edited)
     digest = hashlib.sha256(edited.encode("utf-8")).hexdigest()
-    return doc, len(text), digest, fingerprint(own), fingerprint(changed), jaccard(own, changed), jaccard(own, following)
+    return (
+        doc,
+        len(text),
+        digest,
+        fingerprint(own),
+        fingerprint(changed),
+        jaccard(own, changed),
+        jaccard(own, following),
+        length_partition(len(own), SIMILAR),
+        similar(own, following),
+    )
 
 
 def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,6 +91,8 @@ class CrossParser:
     def _unit(self, unit: str) -> int:
         packed = 0
         for run in _LETTERS.findall(unit.lower()):
+            if not any(map(str.isalpha, run)):  # numerals that are no digits
+                continue
             word = f" {run} "
             packed += len(run)
             for lane, automaton in enumerate(self.automata, 1):

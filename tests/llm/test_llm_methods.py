@@ -265,6 +265,12 @@ def test_jaccard_prunes_by_length():
     a, b = np.arange(10, dtype=np.uint64), np.arange(5, dtype=np.uint64)
     assert fingerprints.jaccard(a, b) == 0.5 and fingerprints.jaccard(a, b, 0.8) == 0.0
     assert fingerprints.jaccard(a, a, 0.8) == 1.0 and fingerprints.jaccard(a[:0], b) == 0.0
+    for n in range(1, 60):
+        x = np.arange(n, dtype=np.uint64)
+        for m in range(1, 60):
+            y = np.arange(m, dtype=np.uint64)
+            assert fingerprints.similar(x, y) == (fingerprints.jaccard(x, y) >= 0.8)
+    assert fingerprints.similar(a[:0], a[:0]) and not fingerprints.similar(a[:0], b)
 
 
 @pytest.mark.parametrize("size", [300, 40_000, 1 << 25])
@@ -306,6 +312,12 @@ def test_language_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
 
 
+def test_texts_without_letters_are_unknown():
+    parse = language.CrossParser({"a": " the cat ", "b": " der hund "})
+    assert parse("½ ² Ⅷ 12 _ !")[0] == parse("")[0] == "und"
+    assert parse("the Ⅷ cat")[0] == "a" and parse("Der Hund²")[0] == "b"
+
+
 def test_held_out_rows_teach_nothing(spark):
     rows = [(i, "abc def ghi", "xx" if zlib.crc32(str(i).encode()) % 4 == 2 else "yy") for i in range(40)]
     docs = spark.createDataFrame([(i, t + f" w{i}", x) for i, t, x in rows], "doc_id long, text string, lang string")
