@@ -82,3 +82,37 @@ def shard_documents(docs: DataFrame, weights: Sequence[float] = (1.0,) * SHARDS,
 
 def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))
+
+
+# The score grows with the hash, so with equal weights the largest hash wins.  DuckDB has no
+# CRC-32: it is computed byte by byte from its table.
+ORACLE = f"""
+WITH crc AS (
+  SELECT list(v ORDER BY n) AS step FROM (
+    SELECT n, list_reduce(list_prepend(n, range(8)),
+                          lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS n))
+), docs AS (
+  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS key, CAST(strlen(coalesce(text, '')) + 8 AS BIGINT) AS size,
+         list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                        lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+  FROM documents
+), summed AS (
+  SELECT doc_id, key, size,
+         xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, step[xor(c & 255, x) + 1])),
+             4294967295) AS text_crc32
+  FROM docs, crc
+), hashed AS (
+  SELECT *, list_transform(range({SHARDS + 1}),
+                           lambda s: CAST('0x' || substr(md5(key || ':' || s), 1, 13) AS BIGINT)) AS h
+  FROM summed
+), placed AS (
+  SELECT *, CAST(list_position(h, list_max(h[1:{SHARDS}])) - 1 AS INTEGER) AS shard,
+         CAST(list_position(h, list_max(h)) - 1 AS INTEGER) AS grown_shard
+  FROM hashed
+)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY substr(md5(key), 1, {PARTS_DIGITS}), doc_id, text_crc32, size) - 1 AS slot,
+       grown_shard
+FROM placed
+"""
