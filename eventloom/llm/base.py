@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -67,6 +68,26 @@ class Memo(dict):
         return value
 
 
+_forget: dict[str, Callable[[], None]] = {}
+_turn: list[str] = []
+
+
+def remembers(operator: str, forget: Callable[[], None]) -> None:
+    """Announce what an operator keeps in a Python worker from task to task."""
+    _forget[operator] = forget
+
+
+def turn_of(operator: str) -> None:
+    """Called by an operator's tasks first: a worker that served another operator before
+    drops what that one remembered, so that memories of several never add up."""
+    if _turn != [operator]:
+        for other, forget in _forget.items():
+            if other != operator:
+                forget()
+        _turn[:] = [operator]
+        gc.collect()
+
+
 def arrays(frames: Iterable, *columns: str) -> Iterator[tuple]:
     """The rows of the batches, one by one, as tuples of plain Python values."""
     for frame in frames:

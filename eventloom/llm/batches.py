@@ -7,7 +7,7 @@ and never as a row of a hot key.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from eventloom.functions.storage import new_folder
 from eventloom.llm.base import arrays, ship_package
 
+#: A fifth smaller than at level 1, and written once.
+LEVEL = 6
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("rest", pa.binary())])
 
 
@@ -24,7 +26,8 @@ def pack(rows: list[tuple]) -> bytes:
     ids, texts, rests = zip(*rows, strict=True)
     table = pa.table([pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), pa.array(rests, pa.binary())], schema=_SCHEMA)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, _SCHEMA, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
+    with pa.ipc.new_stream(sink, _SCHEMA, options=options) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -35,28 +38,33 @@ def unpack(packed: bytes) -> tuple[list, list, list]:
     return tuple(table.column(c).to_pylist() for c in _SCHEMA.names)
 
 
-def in_batches(docs: DataFrame, size: int) -> DataFrame:
-    """``batch, n_bytes, docs`` of a table ``doc_id, text[, rest binary]``, without a shuffle.
+def in_batches(docs: DataFrame, size: int, measure: Callable[[bytes], int] = len) -> DataFrame:
+    """``batch, measure, docs`` of a table ``doc_id, text[, rest binary]``, without a shuffle.
 
-    A batch ends with the document that brings it to ``size`` bytes of text.
+    A batch ends with the document that brings it to ``size`` bytes of text; ``measure`` is
+    summed over its texts.
     """
+    columns = [c for c in ("doc_id", "text", "rest") if c in docs.columns]
 
     def gather(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, made, held, held_bytes = TaskContext.get().partitionId(), 0, [], 0
-        rest = "rest" in docs_columns
-        for doc, text, *more in arrays(frames, "doc_id", "text", *["rest"] * rest):
+
+        def packed() -> pd.DataFrame:
+            total = sum(measure(text) for _, text, _ in held)
+            return pd.DataFrame({"batch": [(task << 32) + made], "measure": [total], "docs": [pack(held)]})
+
+        for doc, text, *rest in arrays(frames, *columns):
             data = text.encode("utf-8")
-            held.append((None if pd.isna(doc) else int(doc), data, more[0] if more else None))
+            held.append((None if pd.isna(doc) else int(doc), data, rest[0] if rest else None))
             held_bytes += len(data)
             if held_bytes >= size:
-                yield pd.DataFrame({"batch": [(task << 32) + made], "n_bytes": [held_bytes], "docs": [pack(held)]})
+                yield packed()
                 made, held, held_bytes = made + 1, [], 0
         if held:
-            yield pd.DataFrame({"batch": [(task << 32) + made], "n_bytes": [held_bytes], "docs": [pack(held)]})
+            yield packed()
 
-    docs_columns = docs.columns
     ship_package(docs.sparkSession)
-    return docs.mapInPandas(gather, "batch long, n_bytes long, docs binary")
+    return docs.mapInPandas(gather, "batch long, measure long, docs binary")
 
 
 def bucketed(rows: DataFrame, key: str, parts: int) -> DataFrame:

@@ -12,17 +12,18 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm.base import INFORMATION_SEPARATORS, Memo, arrays, documents, id_and_text
+from eventloom.llm.base import INFORMATION_SEPARATORS, Memo, arrays, documents, id_and_text, remembers, turn_of
 
 VOCABULARY = "word_bpe_49k.json"
 #: Entries that a task remembers: of text between white space, of words, of token pairs.
-REMEMBERED = 150_000
+REMEMBERED = 500_000
 #: A word's last symbol stands this far above its plain form.
 _FINAL = 0x1000
 _NEVER = 1 << 60
@@ -69,13 +70,14 @@ class BpeVocabulary:
         for token, word in spelled.items():
             self.automaton.add_word(word, (token, len(word)))
         self.automaton.make_automaton()
-        self.symbols = [ord(c) for c in symbols]
+        self.symbols = {b: c for b, c in enumerate(symbols) if chr(b) != c}
         self.pretoken = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
         )
+        self.ascii_words = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
         self.blanks = regex.compile(r"\p{White_Space}+")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.compatible = Memo(self._compatible, 8 * REMEMBERED)
+        self.compatible = Memo(self._compatible, 2 * REMEMBERED)
         self.stable = Memo(self._stable, 1 << 20)
         self.word = Memo(self._encode_word, REMEMBERED)
 
@@ -117,28 +119,35 @@ class BpeVocabulary:
             self.merged[a, b] = merge
 
     def _encode_word(self, word: str) -> tuple[int, ...]:
-        return tuple(self.prefix_tokens([self.symbols[b] for b in word.encode("utf-8")]))
-
-    def prefix_tokens(self, codes: list[int]) -> list[int]:
-        """Ids of one word, given its symbols' code points."""
-        codes[-1] += _FINAL
-        size = len(codes)
-        last: list[tuple[int, int] | None] = [None] * (size + 1)
-        for at, (token, length) in self.automaton.iter("".join(map(chr, codes))):
-            end, start = at + 1, at + 1 - length
-            if last[end] is None and (
-                start == 0 or last[start] is not None and self.compatible[last[start][0], token]
-            ) and self.stable[token]:
-                last[end] = (token, start)
+        symbols = word.encode("utf-8").decode("latin-1").translate(self.symbols)
+        return tuple(self.prefix_tokens(symbols[:-1] + chr(ord(symbols[-1]) + _FINAL)))
+
+    def prefix_tokens(self, symbols: str) -> list[int]:
+        """Ids of one word, given its symbols, the last one in its final form."""
+        size = len(symbols)
+        # Last token of each prefix, and where it begins; -1: not found yet.
+        last, begin = [-1] * (size + 1), [0] * (size + 1)
+        compatible, stable = self.compatible, self.stable
+        for at, (token, length) in self.automaton.iter(symbols):
+            end = at + 1
+            if last[end] < 0:
+                start = end - length
+                if (not start or (last[start] >= 0 and compatible[last[start], token])) and stable[token]:
+                    last[end], begin[end] = token, start
         ids, at = [], size
         while at:
-            token, at = last[at]
-            ids.append(token)
-        return ids[::-1]
+            ids.append(last[at])
+            at = begin[at]
+        ids.reverse()
+        return ids
 
     def encode_unit(self, unit: str) -> list[int]:
         """Ids of text without white space.  Special tokens keep their own ids."""
         ids: list[int] = []
+        if unit.isascii() and "<|" not in unit:
+            for word in self.ascii_words(unit.lower()):
+                ids += self.word[word]
+            return ids
         for part in self.specials.split(unit):
             if part in self.special:
                 ids.append(self.special[part])
@@ -194,10 +203,14 @@ def digester(name: str) -> Digester:
     return Digester(public_tokenizers.path(name))
 
 
+remembers("bpe", digester.cache_clear)
+
+
 def encode_documents(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     """``doc_id, ids``: the ids themselves, for those who store them."""
 
     def encoded(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("bpe")
         bpe = digester(name).bpe
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": [bpe.encode(t) for t in frame["text"]]})
@@ -214,6 +227,7 @@ def digest_documents(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     """
 
     def digested(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("bpe")
         digest = digester(name)
         for frame in frames:
             rows = [(doc, *digest(text)) for doc, text in arrays([frame], "doc_id", "text")]

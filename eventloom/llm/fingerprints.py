@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.base import Memo, documents, id_and_text, mix, shingle_hashes
+from eventloom.llm.base import Memo, documents, id_and_text, mix, remembers, shingle_hashes, turn_of
 
 # Common words of English, German, French and Spanish.
 ANCHORS = frozenset(
@@ -54,6 +54,7 @@ def _word(unit: str) -> int:
 
 
 _words = Memo(_word, REMEMBERED)
+remembers("fingerprints", _words.clear)
 
 
 def signatures(text: str) -> np.ndarray:
@@ -169,6 +170,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     ).split()
 
     def compared(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("fingerprints")
         part, held = None, None
         for frame in frames:
             rows = []

@@ -29,7 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.storage import materialise
-from eventloom.llm.base import Memo, arrays, documents, id_and_text, mix, shingle_hashes, ship_package
+from eventloom.llm.base import (
+    Memo,
+    documents,
+    id_and_text,
+    mix,
+    remembers,
+    shingle_hashes,
+    ship_package,
+    turn_of,
+)
 from eventloom.llm.batches import bucketed
 
 #: Words in an n-gram, and the least Jaccard coefficient of a link.
@@ -42,9 +51,10 @@ BRUTE, SPLIT = 64, 50_000
 #: below the threshold for 128 tokens.
 SKETCH_LEAST = 0.62
 #: Words whose hashes a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 _words = Memo(xxhash.xxh64_intdigest, REMEMBERED)
+remembers("jaccard", _words.clear)
 _odd = mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1)
 _add = mix(np.arange(1001, TOKENS + 1001, dtype=np.uint64))
 
@@ -83,6 +93,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, key``: equal sets have equal keys."""
 
     def keys(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("jaccard")
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "key": [set_key(ngram_set(t)) for t in frame["text"]]})
 
@@ -97,6 +108,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     """
 
     def embed(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("jaccard")
         for (text,) in ((frame["text"],) for frame in frames):
             rows = {}
             for t in text:
@@ -173,6 +185,7 @@ def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
             yield frame
 
     def compare(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("jaccard")
         bucket, held, leaders = None, [], []
         for frame in frames:
             found: list[tuple[bytes, bytes]] = []
@@ -230,6 +243,7 @@ def verified_links(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> D
     """The pairs whose full sets are as similar as asked.  One text of each pair moves."""
 
     def verify(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("jaccard")
         grams = Memo(lambda packed: ngram_set(zstandard.decompress(packed).decode("utf-8")), 64)
         for frame in frames:
             ok = [similarity(grams[x], grams[y]) >= least for x, y in zip(frame["x"], frame["y"], strict=True)]
@@ -301,6 +315,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     at = docs.columns.index("text")
 
     def add_key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_of("jaccard")
         for batch in batches:
             keys = [set_key(ngram_set(t or "")) for t in batch.column(at).to_pylist()]
             yield batch.append_column("chosen path key", pa.array(keys, pa.binary()))
@@ -320,3 +335,36 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_documents(documents(spark, sf_dir))
+
+
+ORACLE = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\s]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(list_distinct(
+           CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WORDS} THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - {WORDS - 2}), lambda i: array_to_string(w[i:i + {WORDS - 1}], ' '))
+           END)) AS grams
+  FROM docs
+), keyed AS (
+  SELECT doc_id, grams, md5(array_to_string(grams, chr(10))) AS key FROM sets
+), reps AS (
+  SELECT key, any_value(grams) AS grams, min(doc_id) AS first FROM keyed GROUP BY key
+), tokens AS (
+  SELECT key, len(grams) AS n, unnest(grams) AS gram FROM reps
+), pairs AS (
+  SELECT a.key AS x, b.key AS y FROM tokens a JOIN tokens b ON a.gram = b.gram AND a.key < b.key
+  GROUP BY a.key, b.key, a.n, b.n HAVING 10 * count(*) >= 8 * (a.n + b.n - count(*))
+), links AS (
+  SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs
+), reached AS (
+  SELECT key, key AS origin FROM reps
+  UNION SELECT l.y, r.origin FROM reached r JOIN links l ON l.x = r.key
+), classes AS (
+  SELECT r.key, min(o.first) AS class_id FROM reached r JOIN reps o ON o.key = r.origin GROUP BY r.key
+), degrees AS (
+  SELECT x AS key, count(*) AS n_links FROM links GROUP BY x
+)
+SELECT k.doc_id, c.class_id, coalesce(d.n_links, 0) AS n_links
+FROM keyed k JOIN classes c USING (key) LEFT JOIN degrees d USING (key)
+"""

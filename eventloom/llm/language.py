@@ -17,7 +17,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.base import Memo, arrays, documents, id_and_text, ship_package, text_or_empty
+from eventloom.llm.base import (
+    Memo,
+    arrays,
+    documents,
+    id_and_text,
+    remembers,
+    ship_package,
+    text_or_empty,
+    turn_of,
+)
 
 #: Bounds of the labelled sample: documents a language (smallest hashes first), and
 #: characters of distinct words a language that go into its automaton.
@@ -25,7 +34,7 @@ TRAIN_DOCS, TRAIN_CHARS = 64, 40_000
 #: The remainder of crc32(doc_id) modulo 4 that is held out from training.
 HELD_OUT = 2
 #: Words whose costs a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: The pipeline lets documents go whose two best languages are closer than this.
 LEAST_SCORE = 0.01
 UNKNOWN = "und"
@@ -155,11 +164,15 @@ def _parser(training: tuple[tuple[str, str], ...]) -> CrossParser:
     return CrossParser(dict(training))
 
 
+remembers("language", _parser.cache_clear)
+
+
 def predicted(docs: DataFrame, training: dict[str, str]) -> DataFrame:
     """``docs`` (with a text) and lang_pred, score; no shuffle, whole texts."""
     model = tuple(sorted(training.items()))
 
     def predict(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("language")
         parse = _parser(model)
         for frame in frames:
             found = [parse(t) for (t,) in arrays([frame], "text")]
@@ -193,6 +206,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     at = docs.columns.index("text")
 
     def keep(batches: Iterable) -> Iterator:
+        turn_of("language")
         parse = _parser(model)
         for batch in batches:
             found = [parse(t or "") for t in batch.column(at).to_pylist()]

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.functions.storage import materialise
-from eventloom.llm.base import INFORMATION_SEPARATORS, Memo, arrays, documents, id_and_text
+from eventloom.llm.base import INFORMATION_SEPARATORS, Memo, arrays, documents, id_and_text, remembers, turn_of
 
 CAPACITY = 4096
 VOCABULARY = "word_bpe_49k.json"
@@ -30,7 +30,7 @@ SEPARATOR = 1
 #: Pieces packed together, and pieces dealt to one task, at most.
 GROUP, TASK_ROWS = 1 << 15, 1 << 18
 #: Units and words whose ids a task remembers, each.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -88,10 +88,14 @@ def word_ids(name: str) -> WordIds:
     return WordIds(name)
 
 
+remembers("packing", word_ids.cache_clear)
+
+
 def pieces(docs: DataFrame, name: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
     """The documents' ids, each followed by the separator, cut where they exceed a sequence."""
 
     def cut(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("packing")
         encode = word_ids(name)
         end = np.array([SEPARATOR], "<u4").tobytes()
         for frame in frames:

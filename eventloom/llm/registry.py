@@ -32,5 +32,8 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op2_temporal_url_list": urls.ORACLE,
+    "op3_rendezvous_sharding": sharding.ORACLE,
     "op5_stupid_backoff": scoring.ORACLE,
+    "op7_bucket_refinement": repeats.ORACLE,
+    "op10_chosen_path_join": jaccard.ORACLE,
 }

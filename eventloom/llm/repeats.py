@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.storage import materialise
-from eventloom.llm.base import arrays, documents, id_and_text, mix
+from eventloom.llm.base import arrays, documents, id_and_text, mix, turn_of
 from eventloom.llm.batches import bucketed, in_batches, unpack
 
 #: Bytes of a repeated string; bytes of the q-grams of the first buckets.
@@ -157,17 +157,24 @@ def _run_frame(batch: int, runs: Iterable[tuple]) -> Iterator[pd.DataFrame]:
 
 def _decided(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Runs whose hull occurs again; and the runs, one of each hull, of the buckets in which
-    some hull occurs once beside others."""
+    some hull occurs once beside others.
+
+    Counts are written before they are joined: Spark can then split a bucket that holds a
+    large part of all runs, since both sides of the join come straight from a shuffle.
+    """
     again = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    again = materialise(again, "repeated_buckets")
     candidates = materialise(runs.join(again, "bucket").select(runs.columns), "candidates")
     hulls = candidates.groupBy("bucket", "hull").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("batch", "place")).alias("one")
     )
+    hulls = materialise(hulls, "hulls")
     open_buckets = (
         hulls.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("classes"), F.count_if(F.col("n") == 1).alias("singles"))
         .filter("classes > 1 AND singles > 0")
     )
+    open_buckets = materialise(open_buckets, "open_buckets")
     repeated = candidates.join(hulls.filter("n > 1").select("bucket", "hull"), ["bucket", "hull"])
     undecided = hulls.join(open_buckets, "bucket")
     return repeated.select("batch", "place"), undecided.select("one.batch", "one.place")
@@ -177,6 +184,7 @@ def repeated_runs(batches: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     """``batch, place`` of runs all of whose suffixes have an equal elsewhere."""
 
     def initial(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("repeats")
         for batch, packed in arrays(frames, "batch", "docs"):
             _, data, ends, _ = _buffer(packed)
             yield from _run_frame(batch, initial_runs(data, ends, length, gram))
@@ -290,3 +298,31 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def op7_bucket_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_repeats(documents(spark, sf_dir))
+
+
+# Every string of LENGTH bytes by its MD5; the hexadecimal text has two characters a byte.
+ORACLE = f"""
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), starts AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * LENGTH})) AS m
+  FROM (SELECT doc_id, h, unnest(range(greatest(len(h) // 2 - {LENGTH - 1}, 0))) AS i FROM docs)
+), again AS (
+  SELECT doc_id, i FROM starts WHERE m IN (SELECT m FROM starts GROUP BY m HAVING count(*) > 1)
+), steps AS (
+  SELECT *, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > {LENGTH}, TRUE) AS opens FROM again
+), spans AS (
+  SELECT doc_id, min(i) AS first, max(i) + {LENGTH} AS after
+  FROM (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM steps)
+  GROUP BY doc_id, span
+), edges AS (
+  SELECT doc_id, first, after FROM spans
+  UNION ALL SELECT doc_id, len(h) // 2, len(h) // 2 FROM docs
+), holes AS (
+  SELECT *, coalesce(lag(after) OVER (PARTITION BY doc_id ORDER BY first, after), 0) AS kept_from FROM edges
+)
+SELECT d.doc_id, CAST(len(any_value(d.h)) // 2 AS BIGINT) AS n_bytes, CAST(sum(x.after - x.first) AS BIGINT) AS n_removed,
+       count(*) - 1 AS n_spans,
+       sha256(unhex(string_agg(substr(d.h, 2 * x.kept_from + 1, 2 * (x.first - x.kept_from)), '' ORDER BY x.first, x.after))) AS kept_sha256
+FROM docs d JOIN holes x ON x.doc_id = d.doc_id GROUP BY d.doc_id
+"""

@@ -14,15 +14,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.storage import materialise
-from eventloom.llm.base import Memo, arrays, documents, id_and_text, shingle_hashes
+from eventloom.llm.base import Memo, arrays, documents, id_and_text, remembers, shingle_hashes, turn_of
+from eventloom.llm.batches import in_batches, unpack
 
 #: Longest n-gram, and the factor of each step to shorter ones.
 ORDER, BACKOFF = 2, 0.4
@@ -31,48 +30,19 @@ UNSEEN = 0.5
 #: Bytes of text in a batch; n-grams in a partition of the count table.
 BATCH_BYTES, TABLE_GRAMS = 4 << 20, 3_000_000
 #: Words whose hashes a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 _words = Memo(xxhash.xxh64_intdigest, REMEMBERED)
-
-
-def _batches(docs: DataFrame) -> DataFrame:
-    """``batch, n_words, docs``: one row holds some megabytes of documents, compressed."""
-
-    def gather(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, made, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-        def packed() -> pd.DataFrame:
-            nonlocal made
-            table = pa.table({"doc_id": pa.array([d for d, _ in held], pa.int64()), "text": pa.array([t for _, t in held], pa.binary())})
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(table)
-            words = sum(len(t.split()) for _, t in held)
-            made += 1
-            return pd.DataFrame({"batch": [(task << 32) + made], "n_words": [words], "docs": [sink.getvalue().to_pybytes()]})
-
-        for doc, text in arrays(frames, "doc_id", "text"):
-            data = text.encode("utf-8")
-            held.append((None if pd.isna(doc) else int(doc), data))
-            size += len(data)
-            if size >= BATCH_BYTES:
-                yield packed()
-                held, size = [], 0
-        if held:
-            yield packed()
-
-    return id_and_text(docs).mapInPandas(gather, "batch long, n_words long, docs binary")
+remembers("scoring", _words.clear)
 
 
 class Batch:
     """The n-grams of a batch's documents, as hashes."""
 
     def __init__(self, packed: bytes, order: int):
-        table = pa.ipc.open_stream(packed).read_all()
-        self.ids = table.column("doc_id").to_pylist()
+        self.ids, texts, _ = unpack(packed)
         self.grams: list[list[np.ndarray]] = []  # by document, then by order
-        for text in table.column("text").to_pylist():
+        for text in texts:
             units = text.split()  # bytes: the six ASCII blanks
             words = np.fromiter(map(_words.__getitem__, units), np.uint64, len(units))
             self.grams.append([shingle_hashes(words, n) if len(words) >= n else words[:0] for n in range(1, order + 1)])
@@ -104,6 +74,7 @@ def _unsqueeze(data: bytes, kind: type) -> np.ndarray:
 
 def _asked(batches: DataFrame, order: int, parts: int) -> DataFrame:
     def ask(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("scoring")
         for number, packed in arrays(frames, "batch", "docs"):
             batch = Batch(packed, order)
             rows = []
@@ -175,8 +146,8 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     words (null or blank text) has score 0 and a null mean.  Copies and repeated rows count
     as other documents.  An empty table gives an empty result; further columns are ignored.
     """
-    batches = materialise(_batches(docs), "batches")
-    corpus = int(batches.agg(F.sum("n_words")).first()[0] or 0)
+    batches = materialise(in_batches(id_and_text(docs), BATCH_BYTES, lambda text: len(text.split())), "batches")
+    corpus = int(batches.agg(F.sum("measure")).first()[0] or 0)
     parts = max(1, -(-corpus * order // TABLE_GRAMS))
     answers = _answered(_asked(batches, order, parts), parts)
 
