@@ -4,26 +4,32 @@ Each text is the set of its n-grams of words; min-hashing embeds a set in tokens
 two sets share as large a part as their Jaccard coefficient says.  A run splits all sets
 recursively: every node of its tree samples a few coordinates, by a hash of the path to it,
 and a set follows the tokens it has there.  Buckets that are small enough are compared by
-brute force on sketches, larger ones are split again and their members compared with the
-bucket's leaders.  Several runs with other samples bring the recall to its target.  What
-looks similar is then verified on the full sets, and verified links make classes.
+brute force on sketches, and what looks similar is then verified on the full sets.  A larger
+bucket is split again as long as that leaves clearly fewer pairs to compare.  Where it does
+not, as in a family of documents that all resemble each other, the bucket is compared
+completely, block against block, on the full sets; of such a bucket only links that
+span it are written.  Several runs with other samples bring the recall to its target.
+Verified links make classes.
 
 Recall of a run for a pair at the threshold s, with ``BRANCHES`` coordinates a node: a node
 that holds both passes them on together unless no sampled token is shared, so the pair is
 lost with a probability below the smallest root of q = (1 - s + s q)^BRANCHES, 0.0625 for
-s = 0.8, and in all ``RUNS`` runs with 0.0625^4 = 0.00002.
+s = 0.8, and in all ``RUNS`` runs with 0.0625^4 = 0.00002.  The tree has no last level, and a
+bucket that is compared completely loses no pair.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +37,7 @@ from pyspark.sql import types as T
 from eventloom.functions.storage import materialise
 from eventloom.llm.base import (
     Memo,
+    arrays,
     documents,
     id_and_text,
     mix,
@@ -43,10 +50,14 @@ from eventloom.llm.batches import bucketed
 
 #: Words in an n-gram, and the least Jaccard coefficient of a link.
 WORDS, LEAST = 5, 0.8
-#: Tokens of the embedding, runs, coordinates sampled at a node, depth of the tree.
-TOKENS, RUNS, BRANCHES, DEPTH = 128, 4, 2, 3
-#: Sets in a bucket that are compared by brute force; rows of a larger bucket in one task.
-BRUTE, SPLIT = 64, 50_000
+#: Tokens of the embedding (a power of two), runs, coordinates sampled at a node.
+TOKENS, RUNS, BRANCHES = 128, 4, 2
+#: Sets in a bucket that are compared by brute force; sets in a block of a larger bucket.
+BRUTE, SPLIT = 64, 1024
+#: A larger bucket is split if that leaves at most this share of its pairs.
+FEWER = 0.75
+#: n-grams of a block, after which another one is begun.
+BLOCK_GRAMS = 2_000_000
 #: Share of equal sketch bytes from which a pair is verified: five standard deviations
 #: below the threshold for 128 tokens.
 SKETCH_LEAST = 0.62
@@ -125,58 +136,79 @@ def _tokens(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint32).reshape(len(column), TOKENS)
 
 
-def _children(paths: np.ndarray, tokens: np.ndarray) -> list[np.ndarray]:
-    """The paths on which sets go on from the nodes ``paths``."""
-    out = []
-    for j in range(BRANCHES):
-        at = (mix(paths + np.uint64(j + 1)) % np.uint64(TOKENS)).astype(np.int64)
-        token = tokens[np.arange(len(tokens)), at].astype(np.uint64)
-        out.append(mix(paths ^ mix((at.astype(np.uint64) << np.uint64(32)) | token)))
-    return out
+def _children(paths: np.ndarray, used: list[np.ndarray], tokens: np.ndarray) -> Iterator[tuple]:
+    """The paths on which sets go on from the nodes ``paths``, and the coordinates they have
+    used, as two words of bits: no node samples one again that splits nothing any more."""
+    low, high = used
+    first, stride = mix(paths + np.uint64(1)), mix(paths + np.uint64(2)) | np.uint64(1)
+    at = first % np.uint64(TOKENS)
+    for _ in range(BRANCHES):
+        for _ in range(TOKENS):
+            taken = (np.where(at < 64, low, high) >> (at & np.uint64(63))) & np.uint64(1) == 1
+            if not taken.any():
+                break
+            at = np.where(taken, (at + stride) % np.uint64(TOKENS), at)
+        bit = np.uint64(1) << (at & np.uint64(63))
+        low, high = np.where(at < 64, low | bit, low), np.where(at < 64, high, high | bit)
+        token = tokens[np.arange(len(tokens)), at.astype(np.int64)].astype(np.uint64)
+        path = mix(paths ^ mix((at << np.uint64(32)) | token))
+        yield path.view(np.int64), low.view(np.int64), high.view(np.int64)
+
+
+_PATHS = "parent long, path long, low long, high long, key binary"
 
 
 def _first_paths(sets: DataFrame) -> DataFrame:
     def split(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                tokens = _tokens(frame["tokens"])
+                tokens, none = _tokens(frame["tokens"]), np.zeros(len(frame), np.uint64)
                 for run in range(RUNS):
                     root = np.full(len(frame), mix(np.array([run + 1], np.uint64))[0])
-                    for path in _children(root, tokens):
-                        yield pd.DataFrame({"path": path.view(np.int64), "key": frame["key"]})
+                    for path, low, high in _children(root, [none, none], tokens):
+                        yield pd.DataFrame({"parent": 0, "path": path, "low": low, "high": high, "key": frame["key"]})
 
-    return sets.select("key", "tokens").mapInPandas(split, "path long, key binary")
+    return sets.select("key", "tokens").mapInPandas(split, _PATHS)
 
 
 def _next_paths(rows: DataFrame, sets: DataFrame) -> DataFrame:
     def split(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                paths = frame["path"].to_numpy(np.int64).view(np.uint64)
-                for path in _children(paths, _tokens(frame["tokens"])):
-                    yield pd.DataFrame({"path": path.view(np.int64), "key": frame["key"]})
+                paths, *used = (frame[c].to_numpy(np.int64).view(np.uint64) for c in ("path", "low", "high"))
+                for path, low, high in _children(paths, used, _tokens(frame["tokens"])):
+                    yield pd.DataFrame({"parent": frame["path"], "path": path, "low": low, "high": high, "key": frame["key"]})
 
-    joined = rows.select("path", "key").join(sets.select("key", "tokens"), "key")
-    return joined.select("path", "key", "tokens").mapInPandas(split, "path long, key binary")
+    joined = rows.select("path", "low", "high", "key").join(sets.select("key", "tokens"), "key")
+    return joined.select("path", "low", "high", "key", "tokens").mapInPandas(split, _PATHS)
 
 
-def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b`` (a < b) of the pairs in a bucket whose sketches are alike.
+def _leaves(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``path, key`` of the buckets of at most ``BRUTE`` sets, and of the larger ones that
+    splitting does not help: every bucket ends as one or the other."""
+    small, large = [], []
+    rows = materialise(_first_paths(sets), "paths")
+    while True:
+        sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        members = materialise(rows.drop("parent").join(sizes, "path"), "members")
+        small.append(members.filter(F.col("n") <= BRUTE).select("path", "key"))
+        open_buckets = members.filter(F.col("n") > BRUTE)
+        if open_buckets.isEmpty():
+            break
+        children = materialise(_next_paths(open_buckets, sets), "paths")
+        square = F.col("c").cast("double") * F.col("c")
+        left = children.groupBy("parent", "path").agg(F.count(F.lit(1)).alias("c")).groupBy("parent").agg(F.sum(square).alias("left"))
+        own = open_buckets.groupBy("path").agg(F.first("n").cast("double").alias("n"))
+        helps = F.col("left") <= FEWER * F.col("n") * F.col("n")
+        judged = materialise(left.withColumnRenamed("parent", "path").join(own, "path").select("path", helps.alias("helps")), "judged")
+        large.append(open_buckets.select("path", "key").join(judged.filter(~F.col("helps")), "path").select("path", "key"))
+        rows = children.join(judged.filter("helps").select(F.col("path").alias("parent")), "parent")
+    return reduce(DataFrame.unionByName, small), reduce(DataFrame.unionByName, large) if large else None
 
-    ``members`` is ``path, key, n, leaders``.  Small buckets are compared whole.  A larger
-    one is dealt to parts of about ``SPLIT`` rows, each with the bucket's leaders, and its
-    rows are compared with the leaders while they pass by.
-    """
-    parts = F.greatest(F.ceil(F.col("n") / SPLIT), F.lit(1)).cast("int")
-    own = members.select(
-        "path", F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"), "key", F.lit(False).alias("leads")
-    )
-    large = members.filter(F.col("n") > BRUTE).select("path", "n", "leaders").groupBy("path").agg(
-        F.first("n").alias("n"), F.first("leaders").alias("leaders")
-    )
-    leading = large.select("path", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "leaders").select(
-        "path", "part", F.explode("leaders").alias("key"), F.lit(True).alias("leads")
-    )
+
+def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b`` (a < b) of the pairs in a small bucket whose sketches are alike.  ``members``
+    is ``path, key``."""
 
     def sketch(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -186,57 +218,177 @@ def _compared(members: DataFrame, sets: DataFrame) -> DataFrame:
 
     def compare(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         turn_of("jaccard")
-        bucket, held, leaders = None, [], []
+        bucket, held = None, []
         for frame in frames:
             found: list[tuple[bytes, bytes]] = []
-            for *now, leads, key, sketched in zip(*(frame[c] for c in columns), strict=True):
-                # Rows of a bucket stand together, its leaders first.
-                if now != bucket or len(held) >= 1024:
-                    found += _alike(leaders or held, held)
-                    held = []
+            for now, key, sketched in zip(*(frame[c] for c in ("path", "key", "sketch")), strict=True):
+                # Rows of a bucket stand together.
                 if now != bucket:
-                    bucket, leaders = now, []
-                (leaders if leads else held).append((key, sketched))
+                    found += _alike(held)
+                    bucket, held = now, []
+                held.append((key, sketched))
             yield pd.DataFrame(found, columns=["a", "b"])
-        yield pd.DataFrame(_alike(leaders or held, held), columns=["a", "b"])
+        yield pd.DataFrame(_alike(held), columns=["a", "b"])
 
-    columns = ["path", "part", "leads", "key", "sketch"]
-    schema = "path long, part int, leads boolean, key binary, sketch binary"
-    rows = own.unionByName(leading).join(sets.select("key", "tokens"), "key")
-    sketched = rows.select("path", "part", "leads", "key", "tokens").mapInPandas(sketch, schema)
-    dealt = sketched.repartition("path", "part").sortWithinPartitions("path", "part", F.desc("leads"), "key")
-    return dealt.mapInPandas(compare, "a binary, b binary")
+    rows = members.join(sets.select("key", "tokens"), "key").select("path", "key", "tokens")
+    sketched = rows.mapInPandas(sketch, "path long, key binary, sketch binary")
+    return sketched.repartition("path").sortWithinPartitions("path").mapInPandas(compare, "a binary, b binary")
 
 
-def _alike(some: list, others: list) -> list[tuple[bytes, bytes]]:
-    if not some or len(others) + len(some) < 2:
+def _alike(some: list) -> list[tuple[bytes, bytes]]:
+    if len(some) < 2:
         return []
     x = np.frombuffer(b"".join(s for _, s in some), np.uint8).reshape(len(some), TOKENS)
-    y = np.frombuffer(b"".join(s for _, s in others), np.uint8).reshape(len(others), TOKENS)
-    pairs = set()
-    for i, row in enumerate(x):
+    pairs = []
+    for i, row in enumerate(x[:-1]):
         a = some[i][0]
-        for j in np.flatnonzero((y == row).sum(axis=1) >= SKETCH_LEAST * TOKENS):
-            b = others[j][0]
-            if a != b:
-                pairs.add((min(a, b), max(a, b)))
-    return sorted(pairs)
-
-
-def candidate_pairs(sets: DataFrame) -> DataFrame:
-    """Pairs of keys that some run brought together and whose sketches are alike."""
-    rows, pairs = _first_paths(sets), None
-    for level in range(1, DEPTH + 1):
-        rows = materialise(rows, f"paths{level}")
-        order = F.struct(F.xxhash64("path", "key").alias("h"), "key")
-        buckets = rows.groupBy("path").agg(
-            F.count(F.lit(1)).alias("n"), F.array(F.min(order)["key"], F.max(order)["key"]).alias("leaders")
-        )
-        members = materialise(rows.join(buckets.filter("n > 1"), "path"), f"members{level}")
-        found = _compared(members, sets)
-        pairs = found if pairs is None else pairs.unionByName(found)
-        rows = _next_paths(members.filter(F.col("n") > BRUTE), sets)
-    return pairs.distinct()
+        for j in np.flatnonzero((x[i + 1 :] == row).sum(axis=1) >= SKETCH_LEAST * TOKENS):
+            b = some[i + 1 + j][0]
+            pairs.append((min(a, b), max(a, b)))
+    return pairs
+
+
+# --- Large buckets, block against block -----------------------------------------------
+
+
+def _bundle(*parts: np.ndarray) -> bytes:
+    sizes = np.array([p.nbytes for p in parts], np.int64)
+    return zstandard.compress(b"".join([sizes.tobytes(), *(p.tobytes() for p in parts)]), 3)
+
+
+def _unbundle(packed: bytes, *kinds: type) -> list[np.ndarray]:
+    data, at, out = zstandard.decompress(packed), 8 * len(kinds), []
+    for kind, size in zip(kinds, np.frombuffer(data, np.int64, len(kinds)), strict=True):
+        out.append(np.frombuffer(data[at : at + size], kind))
+        at += int(size)
+    return out
+
+
+def _listed(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All values, and as numbers of values the entries of the lists with their lengths."""
+    values, entries = np.unique(np.concatenate(lists), return_inverse=True)
+    return values, entries.astype(np.int32), np.array([len(x) for x in lists], np.int32)
+
+
+def _shared(x: tuple, y: tuple) -> np.ndarray:
+    """How many values each list of ``x`` shares with each of ``y``."""
+    out = np.zeros((len(x[2]), len(y[2])), np.float32)
+    both = np.intersect1d(x[0], y[0], assume_unique=True)
+    sides = []
+    for values, entries, lengths in (x, y):
+        number = np.full(len(values), -1, np.int64)
+        number[np.searchsorted(values, both)] = np.arange(len(both))
+        columns, rows = number[entries], np.repeat(np.arange(len(lengths)), lengths)
+        order = np.argsort(columns, kind="stable")
+        sides.append((columns[order], rows[order]))
+    for at in range(0, len(both), 2048):
+        dense = []
+        for (columns, rows), n in zip(sides, out.shape, strict=True):
+            here = slice(*np.searchsorted(columns, [at, at + 2048]))
+            dense.append(np.zeros((n, min(2048, len(both) - at)), np.float32))
+            dense[-1][rows[here], columns[here] - at] = 1
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """As many of the links (row, column) as connect all that ``linked`` connects."""
+    across, rows, columns, out = np.ascontiguousarray(linked.T), linked.any(axis=1), linked.any(axis=0), []
+    for first in np.flatnonzero(rows):
+        reached = [first] if rows[first] else []
+        rows[first] = False
+        while reached:
+            i = reached.pop()
+            for j in np.flatnonzero(linked[i] & columns):
+                columns[j] = False
+                more = np.flatnonzero(across[j] & rows)
+                rows[more] = False
+                out += [(i, j), *((k, j) for k in more)]
+                reached += list(more)
+    return out
+
+
+def _blocks(large: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """``path, team, block, packed``: the sets of a large bucket in blocks of about ``SPLIT``.
+
+    A team is what has its smallest large bucket in common, named by it; those of small teams
+    are in the team of the bucket's own name.
+    """
+    rows = large.join(lists, "key").withColumn("first", F.col("paths")[0])
+    counts = materialise(rows.groupBy("path", "first").agg(F.count(F.lit(1)).alias("c")), "teams")
+    counts = counts.withColumn("team", F.when(F.col("c") * 8 >= SPLIT, F.col("first")).otherwise(F.col("path")))
+    teams = counts.groupBy("path", "team").agg(F.ceil(F.sum("c") / SPLIT).cast("int").alias("parts"))
+    teams = counts.select("path", "first", "team").join(teams, ["path", "team"])
+    salted = rows.join(teams, ["path", "first"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    dealt = salted.join(sets.select("key", "packed"), "key").select("path", "team", "part", "key", "paths", "packed")
+
+    def build(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("jaccard")
+        task, made, here, held, size = TaskContext.get().partitionId(), 0, None, [], 0
+
+        def block() -> pd.DataFrame:
+            keys, grams, met = zip(*held, strict=True)
+            names = np.frombuffer(b"".join(keys), np.uint8)
+            packed = _bundle(names, *_listed(grams), *_listed(met))
+            return pd.DataFrame({"path": [here[0]], "team": [here[1]], "block": [(task << 32) + made], "packed": [packed]})
+
+        for path, team, part, key, paths, packed in arrays(frames, "path", "team", "part", "key", "paths", "packed"):
+            if held and (here != (path, team, part) or size >= BLOCK_GRAMS):
+                yield block()
+                made, held, size = made + 1, [], 0
+            here = path, team, part
+            grams = ngram_set(zstandard.decompress(packed).decode("utf-8"))
+            met = np.asarray(paths, np.int64)
+            held.append((key, grams, met[met < path]))
+            size += len(grams)
+        if held:
+            yield block()
+
+    ordered = dealt.repartition("path", "team", "part").sortWithinPartitions("path", "team", "part")
+    return materialise(ordered.mapInPandas(build, "path long, team long, block long, packed binary"), "blocks")
+
+
+def block_links(large: DataFrame, lists: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
+    """``a, b`` of links in the large buckets that span the classes.
+
+    Each pair of blocks is one row of a task.  A pair of sets that meets in several large
+    buckets is looked at in the one of smallest path; two blocks of a team that is named by
+    another bucket hold no other pairs and are not compared.
+    """
+    blocks = _blocks(large, lists, sets)
+    x = blocks.select("path", F.col("team").alias("t"), F.col("block").alias("x"))
+    y = blocks.select("path", F.col("team").alias("u"), F.col("block").alias("y"))
+    pairs = x.join(y, "path").filter("x <= y AND (t != u OR t = path)").select("x", "y")
+    for side in ("x", "y"):
+        pairs = pairs.join(blocks.select(F.col("block").alias(side), F.col("packed").alias(f"packed_{side}")), side)
+
+    def compare(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn_of("jaccard")
+        kinds = [np.uint8, np.uint64, np.int32, np.int32, np.int64, np.int32, np.int32]
+        for i, j, *packed in arrays(frames, "x", "y", "packed_x", "packed_y"):
+            (a, *x), (b, *y) = (_unbundle(p, *kinds) for p in packed)
+            a, b = ([k.tobytes() for k in keys.reshape(-1, 16)] for keys in (a, b))
+            shared = _shared(x[:3], y[:3]).astype(np.float64)
+            linked = shared / (x[2][:, None] + y[2] - shared) >= least
+            linked &= _shared(x[3:], y[3:]) == 0
+            if i == j:
+                np.fill_diagonal(linked, True)
+            out = [(a[p], b[q]) for p, q in _forest(linked) if a[p] != b[q]]
+            yield pd.DataFrame(out, columns=["a", "b"])
+
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pairs.select("x", "y", "packed_x", "packed_y").repartition(parts, "x", "y")
+    return dealt.mapInPandas(compare, "a binary, b binary")
+
+
+def candidate_pairs(small: DataFrame, lists: DataFrame | None, sets: DataFrame) -> DataFrame:
+    """Pairs of keys that some small bucket and no large one holds and whose sketches are alike."""
+    pairs = _compared(small, sets).distinct()
+    if lists is None:
+        return pairs
+    for end in ("a", "b"):
+        pairs = pairs.join(lists.select(F.col("key").alias(end), F.col("paths").alias(f"paths_{end}")), end, "left")
+    return pairs.filter(~F.coalesce(F.arrays_overlap("paths_a", "paths_b"), F.lit(False))).select("a", "b")
 
 
 def verified_links(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
@@ -283,8 +435,15 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``key, root`` of linked sets, and ``key, n_links``."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = bucketed(_sets(docs), "key", parts)
-    pairs = materialise(candidate_pairs(sets), "pairs")
+    small, large = _leaves(sets)
+    lists = None
+    if large is not None:
+        large = materialise(large, "large")
+        lists = materialise(large.groupBy("key").agg(F.sort_array(F.collect_list("path")).alias("paths")), "lists")
+    pairs = materialise(candidate_pairs(small, lists, sets), "pairs")
     links = materialise(verified_links(pairs, sets), "verified")
+    if large is not None:
+        links = links.unionByName(materialise(block_links(large, lists, sets), "block_links"))
     ends = links.select(F.explode(F.array("a", "b")).alias("key"))
     return components(links), ends.groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
 
@@ -294,7 +453,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
 
     A class holds texts with equal n-gram sets and all that verified links connect;
     ``n_links`` counts the verified links of the document's text to different texts: all
-    that small buckets hold, and in buckets of more than ``BRUTE`` sets those with leaders.
+    that small buckets hold, and of large ones those that span them.
     Texts without words (null, empty, blank) are copies of each other.  Repeated rows stay
     rows; null ids stay null and name a class only if it has no other.  An empty table gives
     an empty result; further columns are ignored.

@@ -381,6 +381,20 @@ def test_large_families_hold_together(spark, monkeypatch):
     assert [r[:2] for r in rows] == [r[:2] for r in classes_by_hand(texts)]
 
 
+def test_linked_pairs_in_a_large_family(spark):
+    """All texts share a passage, at a coefficient of 0.75; few pairs share a little more,
+    which lifts them over 0.8."""
+    shared = [f"s{i}" for i in range(240)]
+    own = [[f"t{i}x{j}" for j in range(39)] for i in range(600)]
+    for i in range(0, 60, 2):
+        own[i + 1][:9] = own[i][:9]
+    texts = [" ".join(shared + words) for words in own]
+    expected = classes_by_hand(texts)
+    assert sum(n for _, _, n in expected) == 60
+    rows = sorted(tuple(r) for r in jaccard.join_documents(frame(spark, texts)).collect())
+    assert [r[:2] for r in rows] == [r[:2] for r in expected]
+
+
 def test_components_of_a_long_chain(spark):
     key = lambda i: i.to_bytes(2, "big")
     links = [(key(i), key(i + 1)) for i in range(200)] + [(key(1000), key(1001))]
