@@ -7,8 +7,8 @@ and a set follows the tokens it has there.  Buckets that are small enough are co
 brute force on sketches, and what looks similar is then verified on the full sets.  A larger
 bucket is split again as long as that leaves clearly fewer pairs to compare.  Where it does
 not, as in a family of documents that all resemble each other, the bucket is compared
-completely, block against block, on the full sets; of such a bucket only links that
-span it are written.  Several runs with other samples bring the recall to its target.
+completely, block against block, on the full sets; of such a bucket only counts and links
+that span it are written.  Several runs with other samples bring the recall to its target.
 Verified links make classes.
 
 Recall of a run for a pair at the threshold s, with ``BRANCHES`` coordinates a node: a node
@@ -349,10 +349,11 @@ def _blocks(large: DataFrame, lists: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def block_links(large: DataFrame, lists: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
-    """``a, b`` of links in the large buckets that span the classes.
+    """``a, b, n`` of the large buckets: rows without ``b`` add ``n`` to the links of ``a``,
+    the others are links that span the classes.
 
     Each pair of blocks is one row of a task.  A pair of sets that meets in several large
-    buckets is looked at in the one of smallest path; two blocks of a team that is named by
+    buckets counts in the one of smallest path; two blocks of a team that is named by
     another bucket hold no other pairs and are not compared.
     """
     blocks = _blocks(large, lists, sets)
@@ -371,14 +372,20 @@ def block_links(large: DataFrame, lists: DataFrame, sets: DataFrame, least: floa
             shared = _shared(x[:3], y[:3]).astype(np.float64)
             linked = shared / (x[2][:, None] + y[2] - shared) >= least
             linked &= _shared(x[3:], y[3:]) == 0
+            if i == j:
+                np.fill_diagonal(linked, False)
+            counts = [*zip(a, linked.sum(axis=1), strict=True)]
             if i == j:
                 np.fill_diagonal(linked, True)
-            out = [(a[p], b[q]) for p, q in _forest(linked) if a[p] != b[q]]
-            yield pd.DataFrame(out, columns=["a", "b"])
+            else:
+                counts += zip(b, linked.sum(axis=0), strict=True)
+            out = [(key, None, int(n)) for key, n in counts if n]
+            out += [(a[p], b[q], 0) for p, q in _forest(linked) if a[p] != b[q]]
+            yield pd.DataFrame(out, columns=["a", "b", "n"])
 
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pairs.select("x", "y", "packed_x", "packed_y").repartition(parts, "x", "y")
-    return dealt.mapInPandas(compare, "a binary, b binary")
+    return dealt.mapInPandas(compare, "a binary, b binary, n long")
 
 
 def candidate_pairs(small: DataFrame, lists: DataFrame | None, sets: DataFrame) -> DataFrame:
@@ -442,18 +449,20 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         lists = materialise(large.groupBy("key").agg(F.sort_array(F.collect_list("path")).alias("paths")), "lists")
     pairs = materialise(candidate_pairs(small, lists, sets), "pairs")
     links = materialise(verified_links(pairs, sets), "verified")
+    ends = links.select(F.explode(F.array("a", "b")).alias("key"), F.lit(1).cast("long").alias("n"))
     if large is not None:
-        links = links.unionByName(materialise(block_links(large, lists, sets), "block_links"))
-    ends = links.select(F.explode(F.array("a", "b")).alias("key"))
-    return components(links), ends.groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
+        found = materialise(block_links(large, lists, sets), "block_links")
+        ends = ends.unionByName(found.filter("b IS NULL").select(F.col("a").alias("key"), "n"))
+        links = links.unionByName(found.filter("b IS NOT NULL").select("a", "b"))
+    return components(links), ends.groupBy("key").agg(F.sum("n").alias("n_links"))
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
     """One row per document: class_id, the smallest doc_id of its class, and n_links.
 
     A class holds texts with equal n-gram sets and all that verified links connect;
-    ``n_links`` counts the verified links of the document's text to different texts: all
-    that small buckets hold, and of large ones those that span them.
+    ``n_links`` counts the verified links of the document's text to different texts, in
+    large families too.
     Texts without words (null, empty, blank) are copies of each other.  Repeated rows stay
     rows; null ids stay null and name a class only if it has no other.  An empty table gives
     an empty result; further columns are ignored.

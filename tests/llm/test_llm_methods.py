@@ -391,8 +391,22 @@ def test_linked_pairs_in_a_large_family(spark):
     texts = [" ".join(shared + words) for words in own]
     expected = classes_by_hand(texts)
     assert sum(n for _, _, n in expected) == 60
+    assert sorted(tuple(r) for r in jaccard.join_documents(frame(spark, texts)).collect()) == expected
+
+
+def test_links_of_large_families_are_counted(spark, monkeypatch):
+    """Every link counts once, wherever its texts meet: in one or several blocks and buckets."""
+    monkeypatch.setattr(jaccard, "SPLIT", 50)
+    texts = near_copies(9, 4, 120) + near_copies(10, 30, 8)
+    r = random.Random(5)
+    base = [f"b{i}" for i in range(300)]
+    for i in range(250):
+        near = list(base)
+        for j in range(r.randint(1, 7)):
+            near[r.randrange(300)] = f"n{i}x{j}"
+        texts.append(" ".join(near))
     rows = sorted(tuple(r) for r in jaccard.join_documents(frame(spark, texts)).collect())
-    assert [r[:2] for r in rows] == [r[:2] for r in expected]
+    assert rows == classes_by_hand(texts)
 
 
 def test_components_of_a_long_chain(spark):
