@@ -7,6 +7,7 @@ from eventloom.llm import (
     fingerprints,
     jaccard,
     language,
+    merkle,
     packing,
     quality,
     repeats,
@@ -28,6 +29,7 @@ QUERIES = {
         fingerprints.op8_spot_signatures,
         language.op9_cross_parsing_language,
         jaccard.op10_chosen_path_join,
+        merkle.op12_merkle_manifest,
     )
 }
 ORACLES: dict[str, str] = {
@@ -36,4 +38,5 @@ ORACLES: dict[str, str] = {
     "op5_stupid_backoff": scoring.ORACLE,
     "op7_bucket_refinement": repeats.ORACLE,
     "op10_chosen_path_join": jaccard.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
