@@ -14,6 +14,7 @@ from eventloom.llm import (
     scoring,
     sharding,
     urls,
+    warc,
 )
 
 QUERIES = {
@@ -29,6 +30,7 @@ QUERIES = {
         fingerprints.op8_spot_signatures,
         language.op9_cross_parsing_language,
         jaccard.op10_chosen_path_join,
+        warc.op11_arc_to_warc,
         merkle.op12_merkle_manifest,
     )
 }
@@ -38,5 +40,6 @@ ORACLES: dict[str, str] = {
     "op5_stupid_backoff": scoring.ORACLE,
     "op7_bucket_refinement": repeats.ORACLE,
     "op10_chosen_path_join": jaccard.ORACLE,
+    "op11_arc_to_warc": warc.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
 }
