@@ -9,6 +9,7 @@ from eventloom.llm import (
     language,
     merkle,
     packing,
+    phrases,
     quality,
     repeats,
     scoring,
@@ -32,6 +33,7 @@ QUERIES = {
         jaccard.op10_chosen_path_join,
         warc.op11_arc_to_warc,
         merkle.op12_merkle_manifest,
+        phrases.op13_phrase_collocations,
     )
 }
 ORACLES: dict[str, str] = {
@@ -42,4 +44,5 @@ ORACLES: dict[str, str] = {
     "op10_chosen_path_join": jaccard.ORACLE,
     "op11_arc_to_warc": warc.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
+    "op13_phrase_collocations": phrases.ORACLE,
 }
