@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import shutil
@@ -10,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +71,29 @@ class Memo(dict):
         return value
 
 
+class Generations(dict):
+    """A memory like ``Memo`` that forgets gradually.
+
+    Values are held in two generations of half the bound each.  When the younger one is full
+    it becomes the older one, and what is met again comes back from there, so frequent words
+    stay however many rare ones there are.
+    """
+
+    def __init__(self, compute: Callable, limit: int):
+        super().__init__()
+        self.compute, self.half, self.older = compute, max(limit // 2, 1), {}
+
+    def __missing__(self, key):
+        value = self.older.get(key, self)
+        if value is self:
+            value = self.compute(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 _forget: dict[str, Callable[[], None]] = {}
 _turn: list[str] = []
 
@@ -85,7 +111,16 @@ def turn_of(operator: str) -> None:
             if other != operator:
                 forget()
         _turn[:] = [operator]
-        gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that is no longer used from Arrow and the allocator to the system; both
+    would keep it for as long as the worker lives."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def arrays(frames: Iterable, *columns: str) -> Iterator[tuple]:

@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.ordered import running_totals
 from eventloom.functions.storage import materialise
-from eventloom.llm.base import documents, ship_package, text_or_empty
+from eventloom.llm.base import documents, give_back, ship_package, text_or_empty
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: Bytes of text in a batch; all unfinished batches of a task hold at most four times that.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 #: Width of a tile, how many of them a side may be dense, and how many pairs make one dense.
 TILE_BITS = 10
@@ -101,7 +101,8 @@ def _encoded(docs: DataFrame) -> DataFrame:
         held: defaultdict[str, Words] = defaultdict(Words)
         total = 0
         for batch in batches:
-            for lang, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "text")), strict=True):
+            for i in range(batch.num_rows):
+                lang, text = batch.column("lang")[i].as_py(), batch.column("text")[i].as_py()
                 held[lang].add(text)
                 total += len(text)
                 full = lang if held[lang].size >= BATCH_BYTES else None
@@ -115,6 +116,8 @@ def _encoded(docs: DataFrame) -> DataFrame:
         for lang, rest in held.items():
             yield rest.row((task << 32) + made, lang)
             made += 1
+        held.clear()
+        give_back()
 
     ship_package(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text"))
@@ -189,6 +192,7 @@ def _paired(encoded: DataFrame, ids: DataFrame) -> DataFrame:
                 told = row.column("ids")[0].values
                 table = np.zeros(int(places.max(initial=0)) + 1, np.int64)
                 table[told.field("place").to_numpy()] = told.field("id").to_numpy()
+                del told
                 found, a, b, counts = next_places(places, table)
                 if len(a) == 0:
                     continue
@@ -201,6 +205,7 @@ def _paired(encoded: DataFrame, ids: DataFrame) -> DataFrame:
                     ],
                     ["batch", "lang", "places", "a", "b", "n_batch"],
                 )
+        give_back()
 
     told = ids.groupBy("batch").agg(F.collect_list(F.struct("place", "id")).alias("ids"))
     joined = encoded.select("batch", "lang", "places").join(told, "batch")
