@@ -134,8 +134,10 @@ def parse_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields and block of every record but the version block.
 
     The version block's second line says which version it is; its third line names the
-    fields, which must be those of the version.
+    fields, which must be those of the version.  A task without rows leaves an empty file.
     """
+    if not data:
+        return
     line, at = _line(data, 0)
     length = int(line.rsplit(" ", 1)[1])
     said = data[at : at + length].decode().split("\n")
