@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.functions.storage import materialise
-from eventloom.llm.base import INFORMATION_SEPARATORS, Memo, arrays, documents, id_and_text, remembers, turn_of
+from eventloom.llm.base import INFORMATION_SEPARATORS, Generations, arrays, documents, id_and_text, remembers, turn_of
 
 CAPACITY = 4096
 VOCABULARY = "word_bpe_49k.json"
@@ -30,7 +30,7 @@ SEPARATOR = 1
 #: Pieces packed together, and pieces dealt to one task, at most.
 GROUP, TASK_ROWS = 1 << 15, 1 << 18
 #: Units and words whose ids a task remembers, each.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -58,8 +58,8 @@ class WordIds:
         import regex
 
         self.whole = tokenizer(name)
-        self.unit = Memo(self._unit, REMEMBERED)
-        self.word = Memo(self._word, REMEMBERED)
+        self.unit = Generations(self._unit, REMEMBERED)
+        self.word = Generations(self._word, REMEMBERED)
         self.blanks = regex.compile(r"\p{White_Space}+")
         self.split = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
 
