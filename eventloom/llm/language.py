@@ -135,8 +135,10 @@ def held_out() -> Column:
 def learn(docs: DataFrame, per_language: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> dict[str, str]:
     """Training text of each language, from a bounded sample of labelled, not held-out rows.
 
-    Ids are chosen first, ``per_language`` smallest hashes for each language; Spark keeps no
-    more than that of each language per task.  Only the chosen texts come to the driver.
+    Distinct ids are chosen first, ``per_language`` smallest hashes for each language; Spark
+    keeps no more than that of each language per task.  Of rows that share an id and a
+    language the text with the smallest hash counts, cut to ``chars`` characters of words on the
+    executors, so at most that much of each chosen id comes to the driver.
     """
     known = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -146,14 +148,22 @@ def learn(docs: DataFrame, per_language: int = TRAIN_DOCS, chars: int = TRAIN_CH
     ).filter(~F.col("out") & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        known.select("doc_id", "lang")
+        known.groupBy("lang", "doc_id")
+        .agg(F.min(F.xxhash64("text")).alias("hash"))
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= per_language)
-        .select("doc_id", "lang", "place")
     )
-    rows = known.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "place", "text").collect()
+
+    def words(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(text=[training_words([t], chars).strip() for t in frame["text"]])
+
+    # Repeated rows meet before their texts are cut or sent.
+    rows = known.withColumn("hash", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "hash"])
+    one = rows.groupBy("lang", "place").agg(F.first("text").alias("text"))
+    ship_package(docs.sparkSession)
     texts: dict[str, list[str]] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["place"], r["text"])):
+    for row in one.mapInPandas(words, "lang string, place int, text string").orderBy("lang", "place").collect():
         texts.setdefault(row["lang"], []).append(row["text"])
     return {lang: training_words(found, chars) for lang, found in texts.items()}
 
