@@ -44,6 +44,7 @@ from eventloom.llm.base import (
     remembers,
     shingle_hashes,
     ship_package,
+    text_or_empty,
     turn_of,
 )
 from eventloom.llm.batches import bucketed
@@ -64,6 +65,9 @@ SKETCH_LEAST = 0.62
 #: Words whose hashes a task remembers.
 REMEMBERED = 100_000
 
+#: Columns beside those of the table.
+KEY, SKETCH = "chosen path key", "chosen path tokens"
+
 _words = Memo(xxhash.xxh64_intdigest, REMEMBERED)
 remembers("jaccard", _words.clear)
 _odd = mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -100,35 +104,47 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(a) + len(b) - shared)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id, key``: equal sets have equal keys."""
-
-    def keys(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turn_of("jaccard")
-        for frame in frames:
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "key": [set_key(ngram_set(t)) for t in frame["text"]]})
-
-    return id_and_text(docs).mapInPandas(keys, "doc_id long, key binary")
+def _shingled(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with their set's ``key`` and min-hash ``tokens``, written once.
 
+    Both have names of their own beside the table's columns.  Tokens are left out of texts
+    without n-grams and of copies within an Arrow batch.
+    """
+    at = docs.columns.index("text")
 
-def _sets(docs: DataFrame) -> DataFrame:
+    def shingle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_of("jaccard")
+        for batch in batches:
+            keys, tokens, seen = [], [], set()
+            for i in range(batch.num_rows):
+                grams = ngram_set(batch.column(at)[i].as_py() or "")
+                key = set_key(grams)
+                keys.append(key)
+                tokens.append(min_hashes(grams).tobytes() if len(grams) and key not in seen else None)
+                seen.add(key)
+            batch = batch.append_column(KEY, pa.array(keys, pa.binary()))
+            yield batch.append_column(SKETCH, pa.array(tokens, pa.binary()))
+
+    ship_package(docs.sparkSession)
+    added = [T.StructField(KEY, T.BinaryType()), T.StructField(SKETCH, T.BinaryType())]
+    return materialise(docs.mapInArrow(shingle, T.StructType([*docs.schema.fields, *added])), "shingled")
+
+
+def _sets(shingled: DataFrame) -> DataFrame:
     """``key, tokens, packed``: one row per set, with its text; sets without n-grams not.
 
     Copies meet in their own tasks first, so a text that a third of all rows share crosses
     the network once a task.
     """
 
-    def embed(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turn_of("jaccard")
-        for (text,) in ((frame["text"],) for frame in frames):
-            rows = {}
-            for t in text:
-                grams = ngram_set(t)
-                if len(grams) and (key := set_key(grams)) not in rows:
-                    rows[key] = (key, min_hashes(grams).tobytes(), zstandard.compress(t.encode("utf-8"), 1))
-            yield pd.DataFrame(list(rows.values()), columns=["key", "tokens", "packed"])
-
-    made = id_and_text(docs).mapInPandas(embed, "key binary, tokens binary, packed binary")
+    def pack(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            frame["packed"] = [zstandard.compress(t.encode("utf-8"), 1) for t in frame.pop("text")]
+            yield frame
+
+    rows = shingled.filter(F.col(SKETCH).isNotNull())
+    rows = rows.select(F.col(KEY).alias("key"), F.col(SKETCH).alias("tokens"), text_or_empty().alias("text"))
+    made = rows.mapInPandas(pack, "key binary, tokens binary, packed binary")
     return made.groupBy("key").agg(F.first("tokens").alias("tokens"), F.first("packed").alias("packed"))
 
 
@@ -438,10 +454,10 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _classes(shingled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``key, root`` of linked sets, and ``key, n_links``."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = bucketed(_sets(docs), "key", parts)
+    parts = int(shingled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = bucketed(_sets(shingled), "key", parts)
     small, large = _leaves(sets)
     lists = None
     if large is not None:
@@ -467,8 +483,9 @@ def join_documents(docs: DataFrame) -> DataFrame:
     rows; null ids stay null and name a class only if it has no other.  An empty table gives
     an empty result; further columns are ignored.
     """
-    keyed = materialise(_keyed(docs), "keyed")
-    roots, degrees = _classes(docs)
+    shingled = _shingled(id_and_text(docs))
+    keyed = shingled.select("doc_id", F.col(KEY).alias("key"))
+    roots, degrees = _classes(shingled)
     sets = keyed.groupBy("key").agg(F.min("doc_id").alias("first"))
     rooted = sets.join(roots, "key", "left").select("key", "first", F.coalesce("root", "key").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first").alias("class_id"))
@@ -479,26 +496,17 @@ def join_documents(docs: DataFrame) -> DataFrame:
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class, the one with the smallest doc_id, with its own columns."""
-    ship_package(spark)
-    at = docs.columns.index("text")
-
-    def add_key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn_of("jaccard")
-        for batch in batches:
-            keys = [set_key(ngram_set(t or "")) for t in batch.column(at).to_pylist()]
-            yield batch.append_column("chosen path key", pa.array(keys, pa.binary()))
-
-    rows = docs.mapInArrow(add_key, T.StructType([*docs.schema.fields, T.StructField("chosen path key", T.BinaryType())]))
-    keyed = materialise(_keyed(docs), "keyed")
-    roots, _ = _classes(docs)
+    rows = _shingled(docs)
+    keyed = rows.select("doc_id", F.col(KEY).alias("key"))
+    roots, _ = _classes(rows)
     sets = keyed.groupBy("key").agg(F.min("doc_id").alias("first"))
     rooted = sets.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     order = F.struct(F.col("first").isNull(), "first", "key")
     chosen = rooted.groupBy("root").agg(F.min(order).alias("o")).select(
-        F.col("o.key").alias("chosen path key"), F.col("o.first").alias("chosen id")
+        F.col("o.key").alias(KEY), F.col("o.first").alias("chosen id")
     )
-    one = rows.join(chosen, "chosen path key").filter(F.col("doc_id").eqNullSafe(F.col("chosen id")))
-    return one.drop("chosen id").dropDuplicates(["chosen path key"]).drop("chosen path key")
+    one = rows.drop(SKETCH).join(chosen, KEY).filter(F.col("doc_id").eqNullSafe(F.col("chosen id")))
+    return one.drop("chosen id").dropDuplicates([KEY]).drop(KEY)
 
 
 def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
