@@ -1,11 +1,12 @@
 """Feature vectors: one-hot categories, scaled numbers, TF-IDF of a short text.
 
-Everything is learnt from the train rows by Spark; what comes to the driver are the
-category levels and the text vocabulary, which are also the model's dimensions.
+Everything is learnt from the train rows by Spark.  Category levels stay a table that rows are
+joined to; what comes to the driver is the text vocabulary, of bounded size.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -20,7 +21,6 @@ from pyspark.ml.feature import (
     RegexTokenizer,
     SQLTransformer,
     StandardScaler,
-    StringIndexer,
     VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.storage import materialise
+from .levels import Levels, learn_levels, read_levels
 
 # The inputs of the models.
 CATEGORICAL = ["issue_type", "priority", "report_channel", "reporter", "short_description"]
@@ -47,9 +48,6 @@ TERMS = 200
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 MISSING = "(missing)"
 
-# Levels are model dimensions and are held by the driver; more than this is an error.
-MAX_LEVELS = 100_000
-
 
 @dataclass(frozen=True)
 class FeatureSet:
@@ -65,12 +63,70 @@ INTAKE = FeatureSet(CATEGORICAL, NUMERIC, TEXT)
 
 @dataclass
 class FittedFeatures:
+    """Levels that rows are joined to, then the stages that make the vector.
+
+    ``named`` are the dimensions after those of the levels; ``ordinal`` features have one
+    dimension a column and no dimension a level.
+    """
+
     pipeline: PipelineModel
-    names: list[str] = field(default_factory=list)
+    named: list[str] = field(default_factory=list)
+    levels: Levels | None = None
+    ordinal: bool = False
 
     def transform(self, frame: DataFrame) -> DataFrame:
+        if self.levels:
+            unseen = dict.fromkeys(self.levels.columns, -1.0) if self.ordinal else None
+            frame = self.levels.coded(frame, unseen)
         return self.pipeline.transform(frame)
 
+    @property
+    def one_hot(self) -> int:
+        """How many dimensions are levels; they come first."""
+        return 0 if self.ordinal or not self.levels else sum(self.levels.counts.values())
+
+    def name_table(self, spark: SparkSession) -> DataFrame:
+        """``position, name`` of every dimension."""
+        rows = [(self.one_hot + i, n) for i, n in enumerate(self.named)]
+        table = spark.createDataFrame(rows, "position long, name string")
+        return self.levels.names().unionByName(table) if self.one_hot else table
+
+    @property
+    def names(self) -> list[str]:
+        """All names in order, brought to the driver."""
+        return [r["name"] for r in self.name_table(SparkSession.active()).orderBy("position").collect()]
+
+    def save(self, path: str) -> None:
+        about = {"named": self.named, "ordinal": self.ordinal}
+        if self.levels:
+            about |= {"columns": self.levels.columns, "missing": self.levels.missing}
+            self.levels.save(f"{path}/levels")
+        self.pipeline.write().overwrite().save(f"{path}/stages")
+        write_json(about, f"{path}/about")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> FittedFeatures:
+        about = read_json(spark, f"{path}/about")
+        levels = read_levels(spark, f"{path}/levels", about["columns"], about["missing"]) if "columns" in about else None
+        return FittedFeatures(PipelineModel.load(f"{path}/stages"), about["named"], levels, about["ordinal"])
+
+
+def write_json(value: dict, path: str) -> None:
+    """A small description beside a model's tables."""
+    SparkSession.active().createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def entries(rows: DataFrame, keep: Sequence[str], vector: str = "features") -> DataFrame:
+    """``keep, position, value`` of the entries that are not zero."""
+    raw = F.unwrap_udt(vector)
+    at = F.when(raw["type"] == 0, raw["indices"]).otherwise(F.sequence(F.lit(0), F.size(raw["values"]) - 1))
+    cells = rows.select(*keep, F.inline(F.arrays_zip(at.alias("position"), raw["values"].alias("value"))))
+    return cells.select(*keep, F.col("position").cast("long").alias("position"), "value").where(F.col("value") != 0.0)
+
 
 def words_of(text: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
@@ -174,33 +230,11 @@ def tfidf_weights(
     )
 
 
-def check_levels(frame: DataFrame, columns: Sequence[str], most: int = MAX_LEVELS) -> None:
-    if not columns:
-        return
-    sizes = frame.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = {c: sizes[c] for c in columns if sizes[c] > most}
-    if wide:
-        raise ValueError(f"too many category levels to be model dimensions: {wide}")
-
-
 def _statement(columns: dict[str, str]) -> SQLTransformer:
     added = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
     return SQLTransformer(statement=f"SELECT *, {added} FROM __THIS__")
 
 
-def _indexed(frame: DataFrame, columns: Sequence[str]):
-    """Fitted stages that give ``<c>_index``, alphabetical; unseen values come last."""
-    check_levels(frame, columns)
-    filled = _statement({f"{c}_filled": f"coalesce({c}, '{MISSING}')" for c in columns})
-    indexer = StringIndexer(
-        inputCols=[f"{c}_filled" for c in columns],
-        outputCols=[f"{c}_index" for c in columns],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    return filled, indexer.fit(filled.transform(frame))
-
-
 def text_stages(
     frame: DataFrame, text: str, ngrams: tuple[int, int], terms: int, out: str = "text_weights"
 ) -> tuple[list[Transformer], list[str]]:
@@ -232,18 +266,22 @@ def fit_features(train: DataFrame, features: FeatureSet = INTAKE, out: str = "fe
     stages: list[Transformer] = []
     parts: list[str] = []
     names: list[str] = []
+    levels = None
     if features.categorical:
         cats = list(features.categorical)
-        filled, indexer = _indexed(train, cats)
-        # The encoder drops the last index, which is the one of unseen values.
+        levels = learn_levels(train, cats, MISSING)
+        # The encoder learns a size for each column from its last code; it drops what is beyond.
+        last = train.sparkSession.createDataFrame(
+            [tuple(float(levels.counts[c] - 1) for c in cats)], ", ".join(f"`{c}_code` double" for c in cats)
+        )
         encoder = OneHotEncoder(
-            inputCols=[f"{c}_index" for c in cats],
+            inputCols=[f"{c}_code" for c in cats],
             outputCols=[f"{c}_onehot" for c in cats],
+            handleInvalid="keep",
             dropLast=True,
-        ).fit(PipelineModel([filled, indexer]).transform(train))
-        stages += [filled, indexer, encoder]
+        ).fit(last)
+        stages.append(encoder)
         parts += [f"{c}_onehot" for c in cats]
-        names += [f"cat__{c}_{v}" for c, values in zip(cats, indexer.labelsArray) for v in values]
     if features.numeric:
         nums = list(features.numeric)
         raw = VectorAssembler(inputCols=nums, outputCol="numbers")
@@ -259,7 +297,7 @@ def fit_features(train: DataFrame, features: FeatureSet = INTAKE, out: str = "fe
         parts.append("text_weights")
         names += words
     stages.append(VectorAssembler(inputCols=parts, outputCol=out))
-    return FittedFeatures(PipelineModel(stages), names)
+    return FittedFeatures(PipelineModel(stages), names, levels)
 
 
 def fit_ordinal(
@@ -270,20 +308,14 @@ def fit_ordinal(
 ) -> FittedFeatures:
     """Alphabetical codes, learnt once on the train rows; missing and unseen are -1."""
     cats = list(categorical)
-    filled, indexer = _indexed(train, cats)
-    codes = _statement(
-        {
-            f"{c}_code": f"CASE WHEN {c} IS NULL OR {c}_index >= {len(values)} THEN -1D "
-            f"ELSE CAST({c}_index AS DOUBLE) END"
-            for c, values in zip(cats, indexer.labelsArray)
-        }
-    )
+    levels = learn_levels(train, cats) if cats else None
     together = VectorAssembler(inputCols=[f"{c}_code" for c in cats] + list(numeric), outputCol=out)
-    return FittedFeatures(PipelineModel([filled, indexer, codes, together]), cats + list(numeric))
+    return FittedFeatures(PipelineModel([together]), cats + list(numeric), levels, ordinal=True)
 
 
-def named_values(spark: SparkSession, names: Sequence[str], values: Sequence[float], column: str) -> DataFrame:
-    """A small table from one number per model dimension, largest size first."""
-    rows = [(n, float(v)) for n, v in zip(names, values, strict=True)]
-    table = spark.createDataFrame(rows, f"feature string, {column} double")
+def named_values(names: DataFrame, values: Sequence[float], column: str) -> DataFrame:
+    """One row per dimension of a model, largest size first."""
+    spark = names.sparkSession
+    rows = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], f"position long, {column} double")
+    table = names.join(rows, "position").select(F.col("name").alias("feature"), column)
     return table.orderBy(F.abs(column).desc(), "feature")

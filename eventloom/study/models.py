@@ -9,15 +9,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml import Model
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.storage import materialise
 from ..spec import FOCUS_VARIANT
+from .boosting import Boosted, Growth, boost
 from .features import (
     CATEGORICAL,
     INTAKE,
@@ -26,9 +26,12 @@ from .features import (
     TEXT,
     FeatureSet,
     FittedFeatures,
+    entries,
     fit_features,
     fit_ordinal,
     named_values,
+    read_json,
+    write_json,
 )
 from .intake import LABELS
 from .splits import SEED, held_out, train_of
@@ -49,19 +52,64 @@ class Fitted:
             vector_to_array("probability")[1].alias("score"),
         )
 
+    def save(self, path: str) -> None:
+        self.features.save(f"{path}/features")
+        self.model.write().overwrite().save(f"{path}/model")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Fitted:
+        return Fitted(FittedFeatures.load(spark, f"{path}/features"), LogisticRegressionModel.load(f"{path}/model"))
+
+    def coefficients(self, frame: DataFrame) -> DataFrame:
+        names = self.features.name_table(frame.sparkSession)
+        return named_values(names, self.model.coefficients.toArray(), "coefficient")
+
+    def gradient(self, train: DataFrame, label: str) -> DataFrame:
+        """``feature, gradient`` of what ``logreg`` minimises, over its train rows: sums of
+        weight x (probability - label) x value, plus the coefficient; zero at the solution."""
+        weight = balanced_weight(label, *class_sizes(train, label))
+        rows = self.model.transform(self.features.transform(train))
+        missed = weight * (vector_to_array("probability")[1] - F.col(label))
+        rows = materialise(rows.select("features", missed.alias("missed")), "missed")
+        sums = entries(rows, ["missed"]).groupBy("position").agg(F.sum(F.col("missed") * F.col("value")).alias("sum"))
+        own = self.coefficients(train).join(self.features.name_table(train.sparkSession).withColumnRenamed("name", "feature"), "feature")
+        slope = F.coalesce("sum", F.lit(0.0)) + F.col("coefficient")
+        parts = own.join(sums, "position", "left").select("feature", slope.alias("gradient"))
+        return parts.unionByName(rows.select(F.lit("(intercept)").alias("feature"), "missed").groupBy("feature").agg(F.sum("missed").alias("gradient")))
+
+
+@dataclass
+class Trees:
+    """Boosted trees with the features they are grown on."""
+
+    features: FittedFeatures
+    model: Boosted
+
+    def _with_score(self, frame: DataFrame, name: str) -> DataFrame:
+        values = self.features.transform(frame).withColumn("_values", vector_to_array("features"))
+        return values.withColumn(name, self.model.score("_values"))
+
+    def scored(self, frame: DataFrame, label: str, keep: Sequence[str] = ("case_id",)) -> DataFrame:
+        rows = self._with_score(frame, "score")
+        return rows.select(*keep, F.col(label).cast("int").alias("label"), "score")
+
     def predicted(self, frame: DataFrame, target: str, keep: Sequence[str] = ("case_id",)) -> DataFrame:
-        rows = self.model.transform(self.features.transform(frame))
-        return rows.select(
-            *keep, F.col(target).alias("actual"), F.col("prediction").alias("predicted")
-        )
+        rows = self._with_score(frame, "predicted")
+        return rows.select(*keep, F.col(target).alias("actual"), "predicted")
+
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        """All nodes of the trees, their features by name."""
+        rows = self.model.node_table(spark)
+        names = self.features.name_table(spark).select(F.col("position").alias("feature"), "name")
+        return rows.join(F.broadcast(names), "feature", "left").withColumn("feature", F.col("name")).drop("name")
 
     def save(self, path: str) -> None:
-        PipelineModel([*self.features.pipeline.stages, self.model]).write().overwrite().save(path)
+        self.features.save(f"{path}/features")
+        write_json(vars(self.model), f"{path}/trees")
 
-    def coefficients(self, frame: DataFrame) -> DataFrame:
-        return named_values(
-            frame.sparkSession, self.features.names, self.model.coefficients.toArray(), "coefficient"
-        )
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Trees:
+        return Trees(FittedFeatures.load(spark, f"{path}/features"), Boosted(**read_json(spark, f"{path}/trees")))
 
 
 def class_sizes(train: DataFrame, label: str) -> tuple[int, int]:
@@ -118,10 +166,6 @@ def _ordinal(train: DataFrame, features: FeatureSet | FittedFeatures) -> FittedF
     return fit_ordinal(train, features.categorical, features.numeric)
 
 
-# Enough for a bin per day of the year or per level of most columns.
-MAX_BINS = 256
-
-
 def gbt_classifier(
     train: DataFrame,
     label: str,
@@ -129,24 +173,12 @@ def gbt_classifier(
     max_iter: int = 300,
     step: float = 0.08,
     seed: int = SEED,
-) -> Fitted:
-    """Boosted trees on ordinal codes; stops when the validation rows stop improving."""
+) -> Trees:
+    """Boosted trees on ordinal codes: 31 leaves of at least 40 rows, L2 of one; they stop
+    when the rows held back no longer improve."""
     class_sizes(train, label)
     fitted = _ordinal(train, features)
-    rows = fitted.transform(train).select(
-        "features", F.col(label).cast("double").alias("label"), _validation().alias("held_back")
-    )
-    learner = GBTClassifier(
-        maxIter=max_iter,
-        stepSize=step,
-        maxDepth=5,
-        maxBins=MAX_BINS,
-        minInstancesPerNode=40,
-        validationIndicatorCol="held_back",
-        validationTol=0.0,
-        seed=seed,
-    )
-    return Fitted(fitted, learner.fit(rows))
+    return _boosted(train, label, "logistic", fitted, Growth(max_iter, step), seed)
 
 
 def gbt_regressor(
@@ -156,22 +188,15 @@ def gbt_regressor(
     max_iter: int = 400,
     step: float = 0.06,
     seed: int = SEED,
-) -> Fitted:
+) -> Trees:
+    """As ``gbt_classifier``, for a number."""
     fitted = _ordinal(train, features)
-    rows = fitted.transform(train).select(
-        "features", F.col(target).cast("double").alias("label"), _validation().alias("held_back")
-    )
-    learner = GBTRegressor(
-        maxIter=max_iter,
-        stepSize=step,
-        maxDepth=5,
-        maxBins=MAX_BINS,
-        minInstancesPerNode=40,
-        validationIndicatorCol="held_back",
-        validationTol=0.0,
-        seed=seed,
-    )
-    return Fitted(fitted, learner.fit(rows))
+    return _boosted(train, target, "squared", fitted, Growth(max_iter, step), seed)
+
+
+def _boosted(train: DataFrame, target: str, loss: str, fitted: FittedFeatures, growth: Growth, seed: int) -> Trees:
+    rows = fitted.transform(train).withColumn("_values", vector_to_array("features"))
+    return Trees(fitted, boost(rows, "_values", target, loss, _validation(seed=seed), growth, len(fitted.named)))
 
 
 # model name -> (what learns the features, what learns from them)

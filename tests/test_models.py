@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.storage import materialise
 from eventloom.plans.study import long_form, split_sensitivity
-from eventloom.study import features, importance, metrics, models
+from eventloom.study import boosting, features, importance, levels, metrics, models
 from eventloom.study.features import FeatureSet
 from eventloom.study.splits import chrono_split, held_out, random_split, split_report, train_of
 
@@ -114,10 +114,18 @@ def test_ordinal_codes_come_from_train(spark, split):
     assert [r[0][0] for r in fitted.transform(odd).select(vector_to_array("features")).collect()] == [0, 1, 2, -1, -1]
 
 
-def test_too_many_levels_are_refused(spark):
-    wide = spark.range(200).select(F.col("id").cast("string").alias("priority"))
-    with pytest.raises(ValueError, match="too many category levels"):
-        features.check_levels(wide, ["priority"], most=100)
+def test_levels_beyond_any_limit(spark, monkeypatch):
+    """More levels than fit a broadcast: joined by a shuffle, numbered in order, none lost."""
+    monkeypatch.setattr(levels, "SMALL_LEVELS", 1000)
+    wide = spark.range(120_000).select(F.format_string("v%06d", "id").alias("priority"), (F.col("id") % 3).cast("string").alias("reporter"))
+    fitted = features.fit_features(wide, FeatureSet(["priority", "reporter"]))
+    assert fitted.levels.counts == {"priority": 120_000, "reporter": 3} and fitted.one_hot == 120_003
+    odd = spark.createDataFrame([("v000000", "0"), ("v119999", "2"), ("v777777", "x"), (None, None)], "priority string, reporter string")
+    rows = odd.withColumn("k", F.monotonically_increasing_id())
+    got = features.entries(fitted.transform(rows), ["k"]).groupBy("k").agg(F.sort_array(F.collect_list("position")).alias("p"))
+    assert sorted(r["p"] for r in got.collect()) == [[0, 120_000], [119_999, 120_002]]
+    codes = features.fit_ordinal(wide, ["priority"], []).transform(odd).select(vector_to_array("features")[0]).collect()
+    assert sorted(r[0] for r in codes) == [-1.0, -1.0, 0.0, 119_999.0]
 
 
 def test_text_features_against_definition(spark):
@@ -166,8 +174,69 @@ def test_boosted_trees_importance_and_saving(spark, split, tmp_path):
     }
     assert drops["short_description"] > 0.3 and drops["reporter"] == 0.0 and drops["created_hour"] == 0.0
     fitted.save(str(tmp_path / "model"))
-    again = PipelineModel.load(str(tmp_path / "model")).transform(test)
-    assert again.select("case_id", vector_to_array("probability")[1].alias("score")).exceptAll(scores.select("case_id", "score")).count() == 0
+    again = models.Trees.load(spark.newSession(), str(tmp_path / "model")).scored(test, "reached_level_3")
+    assert again.exceptAll(scores).count() == 0
+
+
+def leaves_of(tree):
+    return [i for i, f in enumerate(tree["feature"]) if f < 0]
+
+
+def test_trees_grow_leaf_by_leaf(spark):
+    """Against a plain version that splits the leaf of most gain, one after another."""
+    r = np.random.default_rng(3)
+    x = np.column_stack([r.integers(0, 6, 900), r.integers(0, 400, 900), r.normal(size=900).round(3)]).astype(float)
+    y = (x[:, 0] > 2) * 3.0 + (x[:, 1] > 250) * (x[:, 0] < 4) * 2.0 + r.normal(size=900) * 0.1
+    df = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "x array<double>, y double").repartition(5)
+    growth = boosting.Growth(rounds=3, rate=0.3, leaves=6, least_rows=20, l2=1.0)
+    model = boosting.boost(df, "x", "y", "squared", F.lit(False), growth)
+    cuts = boosting.thresholds(boosting.bin_table(df.select(F.posexplode("x").alias("feature", "value"))), 3)
+    assert [len(c) for c in cuts][0] == 5 and max(map(len, cuts)) == 254
+    scores = np.full(900, y.mean())
+    for tree in model.trees:
+        g = scores - y
+        leaves, number, splits = {0: np.arange(900)}, 1, []
+        while len(leaves) < 6:
+            best = None
+            for node, rows in leaves.items():
+                for f in range(3):
+                    for cut in cuts[f]:
+                        left = x[rows, f] < cut
+                        a, b = rows[left], rows[~left]
+                        if min(len(a), len(b)) < 20:
+                            continue
+                        gain = g[a].sum() ** 2 / (len(a) + 1) + g[b].sum() ** 2 / (len(b) + 1) - g[rows].sum() ** 2 / (len(rows) + 1)
+                        if gain > 1e-9 and (best is None or gain > best[0] + 1e-5):
+                            best = (gain, node, f, cut, a, b)
+            _, node, f, cut, a, b = best
+            del leaves[node]
+            leaves |= {number: a, number + 1: b}
+            splits.append((node, f, cut))
+            number += 2
+        assert [(i, tree["feature"][i], tree["threshold"][i]) for i, *_ in sorted(splits)] == sorted(splits)
+        assert sorted(leaves) == leaves_of(tree)
+        for node, rows in leaves.items():
+            value = -0.3 * g[rows].sum() / (len(rows) + 1)
+            assert tree["value"][node] == pytest.approx(value, abs=1e-5) and tree["rows"][node] == len(rows)
+            scores[rows] += tree["value"][node]
+    found = {tuple(r["x"]): r["s"] for r in df.select("x", model.score("x").alias("s")).collect()}
+    assert [found[tuple(v)] for v in x.tolist()] == pytest.approx(scores.tolist(), abs=1e-6)
+
+
+def test_boosting_stops_when_held_back_rows_do(spark):
+    """Labels are noise, so the loss of the rows held back stops falling."""
+    df = spark.range(1500).select(
+        F.array(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(50)).cast("double") for i in range(3)]).alias("x"),
+        (F.pmod(F.xxhash64("id", F.lit(9)), F.lit(2))).alias("y"),
+        (F.col("id") % 5 == 0).alias("out"),
+    )
+    growth = boosting.Growth(rounds=60, rate=0.3, patience=3)
+    model = boosting.boost(df, "x", "y", "logistic", F.col("out"), growth)
+    assert len(model.trees) < 60 and len(model.losses) == len(model.trees) + 1
+    assert min(model.losses[-3:]) >= model.losses[-4] - 1e-7
+    assert all(max(len(leaves_of(t)) for t in model.trees) <= 31 and min(t["rows"]) >= 40 for t in model.trees)
+    same = boosting.boost(df.repartition(7), "x", "y", "logistic", F.col("out"), boosting.Growth(rounds=2, rate=0.3))
+    assert same.trees == model.trees[:2]
 
 
 def test_shuffled_copies_move_one_column_only(split):
