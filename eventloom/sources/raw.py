@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.ordered import global_rank
 from ..functions.quantiles import summarise
 from ..spec import COLUMN_MAP, EVENT_LOG_SCHEMA, TEXT_COLUMNS
+from .dates import lenient_timestamp
 
 # The export's own format, then day-first forms tried on what is left.
 TIMESTAMP_FORMATS = [
@@ -125,19 +126,21 @@ def normalize_columns(df: DataFrame, columns: Mapping[str, str] = COLUMN_MAP) ->
     return df.select(*[F.col(f"`{a}`").alias(b) for a, b in columns.items()], *position)
 
 
-def parse_ts(text: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
+def parse_ts(
+    text: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS, lenient: bool = True
+) -> Column:
     """First format that fits, as a zone-less timestamp; NULL when none does.
 
-    Later formats are tried only on values that the earlier ones refused.  The CSV
+    Later formats are tried only on values that the earlier ones refused, and the loose
+    spellings of ``dates.lenient_timestamp`` only on what all formats refused.  The CSV
     reader's parser is used because it never goes through the session time zone.
     """
     text = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(
-        *[
-            F.from_csv(text, "t timestamp_ntz", {"timestampNTZFormat": f, "sep": "\u0001"})["t"]
-            for f in formats
-        ]
-    )
+    exact = [
+        F.from_csv(text, "t timestamp_ntz", {"timestampNTZFormat": f, "sep": "\u0001"})["t"]
+        for f in formats
+    ]
+    return F.coalesce(*exact, lenient_timestamp(text)) if lenient else F.coalesce(*exact)
 
 
 def to_number(text: Column | str, kind: str = "double") -> Column:
