@@ -11,7 +11,8 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -22,10 +23,20 @@ from eventloom.functions.storage import materialise, shared_dir  # noqa: E402
 from eventloom.operators import analyses, kpis, legacy, provenance, quality, validate, views  # noqa: E402
 from eventloom.plans.registry import REPORTS, Views, export_reports  # noqa: E402
 from eventloom.plans.study import long_form, split_sensitivity  # noqa: E402
-from eventloom.sources import raw, sinks  # noqa: E402
+from eventloom.sources import dates, raw, sinks  # noqa: E402
 from eventloom.sources.adapters import ROW, raw_export, shipment_log, table, user_log  # noqa: E402
 from eventloom.spec import COLUMN_MAP  # noqa: E402
-from eventloom.study import diagnostics, features, importance, intake, metrics, models, splits  # noqa: E402
+from eventloom.study import (  # noqa: E402
+    boosting,
+    diagnostics,
+    features,
+    importance,
+    intake,
+    levels,
+    metrics,
+    models,
+    splits,
+)
 
 try:  # the training-data operators are an optional part
     import corpus_pipeline
@@ -142,6 +153,30 @@ def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(name.alias("report"), F.col("value").alias("line"))
 
 
+def _loose_clock(ts: Column, kind: Column) -> Column:
+    """A time in one of six spellings that no exact format reads."""
+    day, month, year = F.dayofmonth(ts), F.month(ts), F.year(ts)
+    hour, minute = F.hour(ts), F.minute(ts)
+    second = F.floor(F.extract(F.lit("SECOND"), ts)).cast("int")
+    name = F.element_at(F.array(*[F.lit(m) for m in dates.MONTHS]), month)
+    half = F.when(hour < 12, "am").otherwise("PM")
+    of_twelve = (hour + 11) % 12 + 1
+    return (
+        F.when(kind == 0, F.format_string("%d %s %d %d:%02d %s", day, F.initcap(name), year, of_twelve, minute, half))
+        .when(kind == 1, F.format_string("%s %dth, %d at %02d:%02d:%02d", name, day, year, hour, minute, second))
+        .when(kind == 2, F.format_string("%d/%d/%02d %d:%02d", day, month, year % 100, hour, minute))
+        .when(kind == 3, F.format_string("Friday, %d-%s-%02d %d%s", day, F.upper(name), year % 100, of_twelve, half))
+        .when(kind == 4, F.format_string("%04d%02d%02d %02d:%02d:%02d", year, month, day, hour, minute, second))
+        .otherwise(F.format_string("%d %s %d %d:%02d UTC", day, name, year, hour, minute))
+    )
+
+
+def _lenient_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _user(spark, sf_dir)
+    text = log.select("event_id", _loose_clock(F.col("event_timestamp"), F.col("event_id") % 6).alias("text"))
+    return text.select("event_id", raw.parse_ts("text").alias("event_timestamp"))
+
+
 # Analyses that need more than one view.
 
 
@@ -177,6 +212,74 @@ def _regression(v: Views) -> DataFrame:
     return metrics.evaluate_regression(predicted, predicted.agg(F.avg("actual")).scalar())
 
 
+# Features of the models, as tables.
+
+
+def _entries_of(fitted: features.FittedFeatures, rows: DataFrame) -> DataFrame:
+    names = fitted.name_table(rows.sparkSession)
+    cells = features.entries(fitted.transform(rows), ["case_id"]).join(names, "position")
+    return cells.select("case_id", F.col("name").alias("feature"), tidy(F.col("value"), 6).alias("value")).where("value <> 0")
+
+
+def _one_hot(train: DataFrame, test: DataFrame) -> DataFrame:
+    return _entries_of(features.fit_features(train, features.FeatureSet(features.CATEGORICAL)), test)
+
+
+def _scaled(train: DataFrame, test: DataFrame) -> DataFrame:
+    return _entries_of(features.fit_features(train, features.FeatureSet(numeric=features.NUMERIC)), test)
+
+
+def _feature_rows(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Places in the assembled vector: levels first, then numbers."""
+    fitted = features.fit_features(train, features.FeatureSet(features.CATEGORICAL, features.NUMERIC))
+    cells = features.entries(fitted.transform(test), ["case_id"])
+    return cells.select("case_id", "position", tidy(F.col("value"), 6).alias("value")).where("value <> 0")
+
+
+def _ordinal(train: DataFrame, test: DataFrame) -> DataFrame:
+    fitted = features.fit_ordinal(train)
+    cells = fitted.transform(test).select("case_id", F.posexplode(vector_to_array("features")).alias("position", "code"))
+    names = fitted.name_table(test.sparkSession)
+    return cells.join(F.broadcast(names), "position").select("case_id", F.col("name").alias("feature"), "code")
+
+
+def _level_table(train: DataFrame, test: DataFrame) -> DataFrame:
+    return levels.learn_levels(train, features.CATEGORICAL).table
+
+
+def _first_tree(train: DataFrame, test: DataFrame) -> DataFrame:
+    """The first splits of a boosted model: all train rows, four leaves."""
+    growth = boosting.Growth(rounds=1, leaves=4)
+    fitted = features.fit_ordinal(train)
+    rows = fitted.transform(train).withColumn("values", vector_to_array("features"))
+    grown = boosting.boost(rows, "values", MODEL_LABEL, "logistic", F.lit(False), growth, len(fitted.named))
+    nodes = models.Trees(fitted, grown).nodes(train.sparkSession)
+    return nodes.select("node", "feature", "threshold", "left", "right", tidy(F.col("value"), 8).alias("value"), "rows")
+
+
+def _logistic_gradient(train: DataFrame, test: DataFrame) -> DataFrame:
+    """What the fitted model's objective still gains along each feature: nothing."""
+    fitted = models.logreg(train, MODEL_LABEL, features.FeatureSet(features.CATEGORICAL, features.NUMERIC))
+    slopes = fitted.gradient(train, MODEL_LABEL)
+    return slopes.select("feature", F.abs(F.round("gradient", 1)).alias("gradient"))
+
+
+def _model_round_trip(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Scores of models that were saved and read in another session, against their own."""
+    spark = train.sparkSession
+    folder = f"{shared_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    few = features.FeatureSet(features.CATEGORICAL, features.NUMERIC)
+    both = {"logistic_regression": models.logreg(train, MODEL_LABEL, few), "boosted_trees": models.gbt_classifier(train, MODEL_LABEL, max_iter=2)}
+    parts = []
+    for name, fitted in both.items():
+        fitted.save(f"{folder}/{name}")
+        again = type(fitted).load(spark.newSession(), f"{folder}/{name}")
+        own = fitted.scored(test, MODEL_LABEL).withColumnRenamed("score", "own")
+        apart = own.join(again.scored(test, MODEL_LABEL).select("case_id", "score"), "case_id")
+        parts.append(apart.agg(F.lit(name).alias("model"), F.count("*").alias("cases"), F.max(F.abs(F.col("own") - F.col("score"))).alias("difference")))
+    return parts[0].unionByName(parts[1])
+
+
 # Models: no SQL says what they should score.
 
 MODEL_LABEL = "reached_level_3"
@@ -271,6 +374,7 @@ def queries() -> dict[str, Query]:
         ),
         # Ingest and validation.
         "typed_events": _typed_events,
+        "lenient_timestamps": _lenient_timestamps,
         "event_ids": _event_ids,
         "reloaded_case_table": _reloaded_case_table,
         "profile": _over(_user, lambda v: raw.profile(v.log)),
@@ -377,7 +481,16 @@ def queries() -> dict[str, Query]:
         "tfidf_weights": lambda spark, d: features.tfidf_weights(
             table(spark, d, "documents"), "doc_id", "text"
         ),
+        # Features of the models.
+        "category_levels": _on_parts(_level_table),
+        "one_hot_features": _on_parts(_one_hot),
+        "scaled_features": _on_parts(_scaled),
+        "ordinal_codes": _on_parts(_ordinal),
+        "feature_rows": _on_parts(_feature_rows),
         # Models.
+        "boosted_first_tree": _on_parts(_first_tree),
+        "logistic_gradient": _on_parts(_logistic_gradient),
+        "model_round_trip": _on_parts(_model_round_trip),
         "logistic_regression": _on_parts(_logreg_evaluation),
         "coefficients": _on_parts(_coefficients),
         "boosted_trees": _on_parts(_boosted_evaluation),
