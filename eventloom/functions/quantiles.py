@@ -1,8 +1,9 @@
-"""Exact interpolated quantiles whose memory does not grow with the data.
+"""Exact interpolated quantiles by selection; memory and exchanges do not grow with the data.
 
-Values are counted per fine logarithmic bucket; running counts over the buckets
-of a group tell which bucket holds each wanted rank; only the values of those
-buckets are looked at one by one, again as counts per distinct value.
+Values are counted per fine logarithmic bucket, with the bucket's smallest and largest value.
+Running counts over the buckets of a group tell which bucket holds each wanted rank.  A bucket
+of one distinct value is the answer; one with several is cut into finer ones, for which only
+the rows in it are looked at again, until each wanted rank has a bucket of one value.
 """
 
 from __future__ import annotations
@@ -13,10 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import FROM_START, key_of
+from .storage import materialise
 
 # Buckets are 1/4096 wide relative to the value; values below 1e-4 share few of them.
 BUCKETS_PER_E = 4096.0
 SMALLEST_STEP = 1e-4
+# Parts that a bucket with several values is cut into.
+PARTS = 4096
+# So many buckets are sent to all tasks; more are joined by a shuffle.
+SMALL = 100_000
 
 
 def _bucket(v: Column) -> Column:
@@ -25,48 +31,62 @@ def _bucket(v: Column) -> Column:
     return F.floor(F.signum(v) * size).cast("bigint")
 
 
+def _part(v: Column, low: Column, high: Column) -> Column:
+    """The part of a bucket; its ends never share one, so each cut leaves less."""
+    place = F.floor((v - low) / (high - low) * F.lit(float(PARTS - 1))).cast("bigint")
+    return F.when(v == high, F.lit(PARTS - 1)).when(v == low, F.lit(0)).otherwise(F.least(place, F.lit(PARTS - 2)))
+
+
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]
 ) -> DataFrame:
     """One row per group: the ``by`` columns and one column per entry of ``probs``.
 
-    Groups without any non-null value are absent.
+    Groups without any non-null value are absent.  Counts are taken while the plan is made.
     """
-    src = (
-        df.where(F.col(value).isNotNull())
-        .select(key_of(by).alias("_key"), F.col(value).cast("double").alias("_v"))
-        .withColumn("_b", _bucket(F.col("_v")))
+    src = df.where(F.col(value).isNotNull()).select(
+        key_of(by).alias("_key"), F.col(value).cast("double").alias("_v")
     )
+    ends = [F.count("*").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+    buckets = src.groupBy("_key", _bucket(F.col("_v")).alias("_b")).agg(*ends)
     group = Window.partitionBy("_key")
-    buckets = src.groupBy("_key", "_b").agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(group.orderBy("_b").rowsBetween(FROM_START, -1)), F.lit(0))
     placed = buckets.select(
-        "_key",
-        "_b",
-        "_c",
-        F.coalesce(
-            F.sum("_c").over(group.orderBy("_b").rowsBetween(FROM_START, -1)), F.lit(0)
-        ).alias("_start"),
-        F.sum("_c").over(group).alias("_n"),
+        "_key", "_c", "_low", "_high", before.alias("_start"), F.sum("_c").over(group).alias("_n")
     )
     spot = {n: F.lit(float(p)) * (F.col("_n") - 1) for n, p in probs.items()}
+    ranks = F.array(*[F.struct(F.lit(n).alias("name"), F.floor(at).alias("rank")) for n, at in spot.items()])
+    higher = F.array(*[F.struct(F.lit(n).alias("name"), F.ceil(at).alias("rank")) for n, at in spot.items()])
 
-    def holds(rank: Column) -> Column:
+    def held(rank: Column) -> Column:
         return (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_c"))
 
-    wanted = F.lit(False)
-    for at in spot.values():
-        wanted = wanted | holds(F.floor(at)) | holds(F.ceil(at))
-    targets = placed.where(wanted).select("_key", "_b", F.col("_start").alias("_from"), "_n")
-
-    values = src.groupBy("_key", "_b", "_v").agg(F.count("*").alias("_c"))
-    before = Window.partitionBy("_key", "_b").orderBy("_v").rowsBetween(FROM_START, -1)
-    inside = values.join(targets, ["_key", "_b"]).withColumn(
-        "_start", F.col("_from") + F.coalesce(F.sum("_c").over(before), F.lit(0))
-    )
-    picked = inside.groupBy("_key").agg(
-        F.max("_n").alias("_n"),
-        *[F.max(F.when(holds(F.floor(at)), F.col("_v"))).alias(f"{n}_lo") for n, at in spot.items()],
-        *[F.max(F.when(holds(F.ceil(at)), F.col("_v"))).alias(f"{n}_hi") for n, at in spot.items()],
+    asked = F.explode(F.filter(F.array_distinct(F.concat(ranks, higher)), lambda x: held(x["rank"])))
+    found = materialise(placed.withColumn("_at", asked), "quantiles")
+    done = found.where("_low = _high")
+    while True:
+        wide = found.where("_low < _high")
+        spans = wide.select("_key", "_low", "_high", "_start").distinct()
+        count = spans.count()
+        if count == 0:
+            break
+        spans = F.broadcast(spans) if count <= SMALL else spans
+        inside = src.join(spans.withColumnRenamed("_key", "_of"), (F.col("_key") == F.col("_of")) & F.col("_v").between(F.col("_low"), F.col("_high")))
+        cut = inside.select("_key", F.col("_low").alias("_from"), "_start", "_v", _part(F.col("_v"), F.col("_low"), F.col("_high")).alias("_b"))
+        finer = cut.groupBy("_key", "_from", "_start", "_b").agg(*ends)
+        along = Window.partitionBy("_key", "_from").orderBy("_b").rowsBetween(FROM_START, -1)
+        finer = finer.withColumn("_start", F.col("_start") + F.coalesce(F.sum("_c").over(along), F.lit(0)))
+        asked = wide.select("_key", F.col("_low").alias("_from"), "_n", "_at")
+        refined = finer.join(asked, ["_key", "_from"]).where(held(F.col("_at.rank")))
+        found = materialise(refined.select(*found.columns), "quantiles")
+        done = done.unionByName(found.where("_low = _high"))
+
+    def value_at(name: str, rank: Column) -> Column:
+        return F.max(F.when((F.col("_at.name") == name) & (F.col("_at.rank") == rank), F.col("_low")))
+
+    picked = done.groupBy("_key", "_n").agg(
+        *[value_at(n, F.floor(at)).alias(f"{n}_lo") for n, at in spot.items()],
+        *[value_at(n, F.ceil(at)).alias(f"{n}_hi") for n, at in spot.items()],
     )
     lo, hi = (lambda n: F.col(f"{n}_lo")), (lambda n: F.col(f"{n}_hi"))
     return picked.select(
