@@ -35,6 +35,9 @@ from eventloom.llm.batches import bucketed, in_batches, unpack
 
 #: Bytes of a repeated string; bytes of the q-grams of the first buckets.
 LENGTH, GRAM = 400, 32
+#: The stage cuts spans of repeated strings of this many bytes if they have more than so many
+#: words or at least ``LENGTH`` bytes; 51 words reach it at a mean of 5 bytes, blanks included.
+PASSAGE_BYTES, PASSAGE_WORDS = 256, 50
 #: Suffixes in a run after each refinement; the last must be 1.
 REFINEMENTS = (16, 1)
 #: Bytes of text in a batch and in a file of batches, and places hashed at a time.
@@ -269,9 +272,23 @@ def digest_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return without_repeats(id_and_text(docs), _digest, schema, length)
 
 
+def passages(data: np.ndarray, covered: np.ndarray) -> np.ndarray:
+    """Which bytes belong to spans that are long enough, in words or in bytes."""
+    ends = np.flatnonzero(np.diff(covered.astype(np.int8), prepend=0, append=0))
+    out = covered.copy()
+    for first, after in zip(ends[::2].tolist(), ends[1::2].tolist(), strict=True):
+        if after - first < LENGTH and len(data[first:after].tobytes().split()) <= PASSAGE_WORDS:
+            out[first:after] = False
+    return out
+
+
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without repeated passages, with their own columns; n_chars is the new
-    length.  A character of which a byte was removed goes whole; a null text stays null."""
+    length.  A character of which a byte was removed goes whole; a null text stays null.
+
+    A passage is a span covered by strings of ``PASSAGE_BYTES`` bytes that also start anywhere
+    else, with over ``PASSAGE_WORDS`` words or at least ``LENGTH`` bytes.
+    """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -280,9 +297,10 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     )
 
     def kept(doc, data: np.ndarray, covered: np.ndarray, rest) -> tuple:
-        return doc, data[~covered].tobytes().decode("utf-8", "ignore"), bytes(rest).decode("utf-8")
+        left = data[~passages(data, covered)].tobytes().decode("utf-8", "ignore")
+        return doc, left, bytes(rest).decode("utf-8")
 
-    out = without_repeats(rows, kept, "doc_id long, text string, rest string")
+    out = without_repeats(rows, kept, "doc_id long, text string, rest string", PASSAGE_BYTES)
     kinds = dict(docs.dtypes)
     shape = ", ".join(f"`{c}`: {kinds[c]}" for c in others)
     row = F.from_json("rest", f"`no text` boolean, `row` struct<{shape}>")

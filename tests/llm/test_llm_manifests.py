@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 
 from eventloom.functions.storage import new_folder
-from eventloom.llm import language, merkle, phrases, warc
+from eventloom.llm import language, merkle, phrases, repeats, warc
 from eventloom.llm.base import Generations
 
 CLASH = ", ".join(f"{c} string" for c in ("digest", "key", "lo", "hi", "level", "word", "f", "n", "a", "batch", "name", "content"))
@@ -278,3 +278,30 @@ def test_language_sample_is_bounded(spark):
     assert set(learnt) == {"de", "en"}
     assert len(learnt["de"].split()) == 2  # one text of the repeated id
     assert all(len(t) <= language.TRAIN_CHARS for t in learnt.values())
+
+
+# --- Passages -----------------------------------------------------------------------
+
+
+def test_stage_cuts_passages_of_over_fifty_words(spark):
+    r = random.Random(11)
+    made = iter(range(10**9))
+
+    def fresh(n):
+        """Words that no other text has."""
+        return " ".join(f"{r.choice('abcdefgh')}{next(made):x}" for _ in range(n))
+
+    long, short, wide = fresh(51), fresh(40), "".join(r.choice("abc") for _ in range(420))
+    long = " ".join(w + "xy"[: max(0, 5 - len(w))] for w in long.split())
+    short = " ".join(w + "xyzxyz" for w in short.split())
+    assert repeats.PASSAGE_BYTES <= len(long) < repeats.LENGTH and repeats.PASSAGE_BYTES <= len(short) < repeats.LENGTH
+    parts = [(fresh(80), passage, fresh(70)) for passage in (long, long, long, short, short, wide, wide)]
+    clean = [fresh(200) for _ in range(20)]
+    texts = [" ".join(p) for p in parts] + clean
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    out = {x.doc_id: x.text for x in repeats.repeats_stage(spark, docs, "").collect()}
+    for i, (before, passage, after) in enumerate(parts):
+        gone = passage != short
+        # Blanks on both sides of a passage belong to it where all copies have them.
+        assert out[i].replace(" ", "") == f"{before}{'' if gone else passage}{after}".replace(" ", "")
+    assert [out[len(parts) + i] for i in range(20)] == clean
