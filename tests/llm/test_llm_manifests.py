@@ -295,7 +295,9 @@ def test_stage_cuts_passages_of_over_fifty_words(spark):
     long = " ".join(w + "xy"[: max(0, 5 - len(w))] for w in long.split())
     short = " ".join(w + "xyzxyz" for w in short.split())
     assert repeats.PASSAGE_BYTES <= len(long) < repeats.LENGTH and repeats.PASSAGE_BYTES <= len(short) < repeats.LENGTH
-    parts = [(fresh(80), passage, fresh(70)) for passage in (long, long, long, short, short, wide, wide)]
+    # What stands beside a passage differs from its first byte on.
+    passages = (long, long, long, short, short, wide, wide)
+    parts = [(f"{fresh(80)} {i}", passage, f"{i} {fresh(70)}") for i, passage in enumerate(passages)]
     clean = [fresh(200) for _ in range(20)]
     texts = [" ".join(p) for p in parts] + clean
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
