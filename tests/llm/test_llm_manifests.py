@@ -293,7 +293,7 @@ def test_stage_cuts_passages_of_over_fifty_words(spark):
 
     long, short, wide = fresh(51), fresh(40), "".join(r.choice("abc") for _ in range(420))
     long = " ".join(w + "xy"[: max(0, 5 - len(w))] for w in long.split())
-    short = " ".join(w + "xyzxyz" for w in short.split())
+    short = " ".join(w + "xyzx" for w in short.split())
     assert repeats.PASSAGE_BYTES <= len(long) < repeats.LENGTH and repeats.PASSAGE_BYTES <= len(short) < repeats.LENGTH
     # What stands beside a passage differs from its first byte on.
     passages = (long, long, long, short, short, wide, wide)
