@@ -30,6 +30,8 @@ MAX_BINS = 255
 PARTS = {"logistic": 1 << 24, "squared": 1 << 20}
 LEAST_HESSIAN = 1e-3
 TOLERANCE = 1e-7
+#: Rows of one task: with few rows a step is a single task and needs no exchange.
+TASK_ROWS = 200_000
 #: Trees whose scores are computed anew in each step before they are written with the rows.
 WRITE_EVERY = 8
 
@@ -274,12 +276,13 @@ def boost(
     if loss == "logistic":
         base = math.log(base / (1.0 - base))
     widest = max(len(c) for c in cuts) + 1
+    tasks = max(1, -(-narrow.count() // TASK_ROWS))
     scored = materialise(with_bins(narrow, "x", cuts).withColumn("f", F.lit(base)).drop("x"), "boosting")
 
     def histograms(pending: list[dict], tree: dict, looked: dict[int, int]) -> tuple[dict[int, np.ndarray], float | None]:
         """Histograms of the leaves in ``looked`` by their number there, and the loss of the
         rows held back, in one aggregation."""
-        placed = scored.selectExpr("*", f"{added_up('f', pending, _by_bin)} AS raw", f"{literal(tree, f'struct<{_SHAPE}>')} AS tree")
+        placed = scored.coalesce(tasks).selectExpr("*", f"{added_up('f', pending, _by_bin)} AS raw", f"{literal(tree, f'struct<{_SHAPE}>')} AS tree")
         number = literal([looked.get(i, -1) for i in range(len(tree["feature"]))], "array<int>")
         placed = placed.selectExpr("bins", "y", "out", "raw", f"get({number}, {node_of('tree', _by_bin('tree'))}) AS node")
         if loss == "logistic":
@@ -324,5 +327,5 @@ def boost(
         model.trees.append(tree.grown(cuts))
         pending.append(model.trees[-1])
         if len(pending) == WRITE_EVERY:
-            scored = materialise(scored.withColumn("f", F.expr(added_up("f", pending, _by_bin))), "boosting")
+            scored = materialise(scored.coalesce(tasks).withColumn("f", F.expr(added_up("f", pending, _by_bin))), "boosting")
             pending = []

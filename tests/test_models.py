@@ -174,10 +174,25 @@ def test_boosted_trees_importance_and_saving(spark, split, tmp_path):
     }
     assert drops["short_description"] > 0.3 and drops["reporter"] == 0.0 and drops["created_hour"] == 0.0
     fitted.save(str(tmp_path / "model"))
-    again = models.Trees.load(spark.newSession(), str(tmp_path / "model")).scored(test, "reached_level_3")
+    again = models.Fitted.load(spark.newSession(), str(tmp_path / "model")).scored(test, "reached_level_3")
     assert again.exceptAll(scores).count() == 0
 
 
+def test_leafwise_trees_on_cases(spark, split, tmp_path):
+    train, test = train_of(split), held_out(split)
+    few = FeatureSet(["short_description", "reporter"], ["created_hour"])
+    fitted = models.leafwise_classifier(train, "reached_level_3", few, boosting.Growth(rounds=3))
+    scores = fitted.scored(test, "reached_level_3")
+    assert metrics.evaluate_binary(scores).first()["roc_auc"] == 1.0
+    assert {r["feature"] for r in fitted.nodes(spark).where("left >= 0").collect()} == {"short_description"}
+    fitted.save(str(tmp_path / "trees"))
+    again = models.Trees.load(spark.newSession(), str(tmp_path / "trees")).scored(test, "reached_level_3")
+    assert again.exceptAll(scores).count() == 0
+    hours = models.leafwise_regressor(train, features=few, growth=boosting.Growth(rounds=15, rate=0.3))
+    mean = train.agg(F.avg("cycle_time_hours")).scalar()
+    assert metrics.evaluate_regression(hours.predicted(test, "cycle_time_hours"), mean).first()["r2"] > 0.5
+
+
 def leaves_of(tree):
     return [i for i, f in enumerate(tree["feature"]) if f < 0]
 

@@ -39,4 +39,4 @@ def test_run_study(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/cycle_time_histogram").agg(F.sum("cases")).first()[0] == cases
     points = spark.read.parquet(f"{tmp_path}/curves")
     assert points.groupBy("split", "label_name", "model").count().count() == 4
-    assert models.Trees.load(spark, f"{tmp_path}/model_boosted_trees").model.trees
+    assert models.Fitted.load(spark, f"{tmp_path}/model_boosted_trees").model.getNumTrees > 0
