@@ -269,7 +269,7 @@ def _model_round_trip(train: DataFrame, test: DataFrame) -> DataFrame:
     spark = train.sparkSession
     folder = f"{shared_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
     few = features.FeatureSet(features.CATEGORICAL, features.NUMERIC)
-    both = {"logistic_regression": models.logreg(train, MODEL_LABEL, few), "boosted_trees": models.gbt_classifier(train, MODEL_LABEL, max_iter=2)}
+    both = {"logistic_regression": models.logreg(train, MODEL_LABEL, few), "boosted_trees": models.leafwise_classifier(train, MODEL_LABEL, growth=boosting.Growth(rounds=2))}
     parts = []
     for name, fitted in both.items():
         fitted.save(f"{folder}/{name}")
@@ -299,6 +299,12 @@ def _boosted_evaluation(train: DataFrame, test: DataFrame) -> DataFrame:
     return metrics.evaluate_binary(materialise(scores, "scores"))
 
 
+def _leafwise_evaluation(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Twelve rounds of trees grown leaf by leaf."""
+    scores = models.leafwise_classifier(train, MODEL_LABEL, growth=boosting.Growth(rounds=12)).scored(test, MODEL_LABEL)
+    return metrics.evaluate_binary(materialise(scores, "scores"))
+
+
 def _cycle_time_regression(train: DataFrame, test: DataFrame) -> DataFrame:
     predicted = materialise(
         models.gbt_regressor(train).predicted(test, "cycle_time_hours"), "predicted"
@@ -494,6 +500,7 @@ def queries() -> dict[str, Query]:
         "logistic_regression": _on_parts(_logreg_evaluation),
         "coefficients": _on_parts(_coefficients),
         "boosted_trees": _on_parts(_boosted_evaluation),
+        "leafwise_trees": _on_parts(_leafwise_evaluation),
         "cycle_time_regression": _on_parts(_cycle_time_regression),
         "permutation_importance": _on_parts(_permutation_importance),
         "train_grid": _on_frame(_grid),
