@@ -177,6 +177,23 @@ def _lenient_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("event_id", raw.parse_ts("text").alias("event_timestamp"))
 
 
+def _timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop mode: rows whose time no spelling explains go."""
+    text = raw_export(_user(spark, sf_dir), mixed=True)
+    typed = raw.normalize_columns(text, COLUMN_MAP | {ROW: "source_row"})
+    spoilt = F.when(F.col("source_row") % 11 == 0, "some day").otherwise(F.col("event_timestamp"))
+    rows = raw.type_events(typed.withColumn("event_timestamp", spoilt), bad_timestamps="drop")
+    return rows.select("source_row", "event_timestamp")
+
+
+def _used_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of the columns that hold any value."""
+    log = _user(spark, sf_dir).withColumn("notes", F.lit(None).cast("string"))
+    kept = raw.drop_empty_columns(log)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).isNotNull().cast("long").alias("n")) for c in kept.columns])
+    return kept.select(F.inline(cells)).groupBy("column").agg(F.sum("n").alias("n"))
+
+
 # Analyses that need more than one view.
 
 
@@ -381,6 +398,12 @@ def queries() -> dict[str, Query]:
         # Ingest and validation.
         "typed_events": _typed_events,
         "lenient_timestamps": _lenient_timestamps,
+        "timed_events": _timed_events,
+        "used_columns": _used_columns,
+        "filled_text": _over(_user, lambda v: raw.fill_unknown(v.log, ["event"], "Unknown").select("event_id", "event")),
+        "complete_transitions": _over(
+            _user, lambda v: raw.drop_incomplete(v.transitions).select("case_id", "from_event", "to_event", "duration_hours")
+        ),
         "event_ids": _event_ids,
         "reloaded_case_table": _reloaded_case_table,
         "profile": _over(_user, lambda v: raw.profile(v.log)),
