@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +23,7 @@ from eventloom.functions.exact import micros_between, tidy  # noqa: E402
 from eventloom.functions.storage import materialise, shared_dir  # noqa: E402
 from eventloom.operators import analyses, kpis, legacy, provenance, quality, validate, views  # noqa: E402
 from eventloom.plans.registry import REPORTS, Views, export_reports  # noqa: E402
+from eventloom.plans.reload import reload  # noqa: E402
 from eventloom.plans.study import long_form, split_sensitivity  # noqa: E402
 from eventloom.sources import dates, raw, sinks  # noqa: E402
 from eventloom.sources.adapters import ROW, raw_export, shipment_log, table, user_log  # noqa: E402
@@ -35,6 +37,7 @@ from eventloom.study import (  # noqa: E402
     levels,
     metrics,
     models,
+    scorecard,
     splits,
 )
 
@@ -153,6 +156,44 @@ def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(name.alias("report"), F.col("value").alias("line"))
 
 
+def _counted_exports(spark: SparkSession, sf_dir: str, group: str | None = None) -> DataFrame:
+    """Rows of each exported report, of one group or of all."""
+    folder = f"{shared_dir(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
+    paths = export_reports(Views(_user(spark, sf_dir)), folder, group=group, fmt="parquet")
+    counts = [spark.read.parquet(p).agg(F.lit(name).alias("report"), F.count("*").alias("n")) for name, p in paths.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _unloaded_case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The case table of an export that is not stored as a log."""
+    folder = f"{shared_dir(spark).rstrip('/')}/reload/{uuid.uuid4().hex}"
+    text = raw_export(_user(spark, sf_dir), mixed=True)
+    ordered = text.repartitionByRange(ROW).sortWithinPartitions(ROW).drop(ROW)
+    ordered.write.csv(folder, sep=";", header=True, quote='"', escape='"')
+    return reload(spark, folder)
+
+
+def _cleaned_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export with untidy headers, by the names that cleaning gives them."""
+    text = raw_export(_user(spark, sf_dir))
+    untidy = text.toDF(*[f" {c.upper()} " for c in text.columns])
+    wanted = ["row", "case_id", "issue_type", "report_channel", "short_description"]
+    return raw.require_columns(raw.clean_headers(untidy), wanted).select(*wanted)
+
+
+def _log_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log after two loads, a load that was overtaken, and one that was never published."""
+    log = _user(spark, sf_dir)
+    folder = f"{shared_dir(spark).rstrip('/')}/versions/{uuid.uuid4().hex}"
+    sinks.write_log(log, folder, after=0)
+    sinks.write_log(log.where(F.col("resolver").isNotNull()), folder, after=1)
+    try:
+        sinks.write_log(log.where("priority = 'High'"), folder, after=1)
+    except sinks.Overtaken:
+        sinks.write_version(log.where("priority = 'Low'"), folder, uuid.uuid4().hex)
+    return sinks.audit(spark, folder).drop("version", "published_at")
+
+
 def _loose_clock(ts: Column, kind: Column) -> Column:
     """A time in one of six spellings that no exact format reads."""
     day, month, year = F.dayofmonth(ts), F.month(ts), F.year(ts)
@@ -357,6 +398,49 @@ def _single_feature(frame: DataFrame) -> DataFrame:
     return metrics.evaluate_binary(materialise(scores, "scores"))
 
 
+# The same with scores that SQL can say.
+
+
+def _scorecard_points(train: DataFrame, test: DataFrame) -> DataFrame:
+    card = scorecard.learn_scorecard(train, MODEL_LABEL, features.INTAKE)
+    return card.points.select("feature", "level", F.col("points").cast("double").alias("points"))
+
+
+def _scorecard_grid(frame: DataFrame) -> DataFrame:
+    frame = materialise(frame, "intake")
+    both = {"chronological": splits.chrono_split(frame), "random": splits.random_split(frame)}
+    scores = models.train_grid(both, [MODEL_LABEL], scorecard.scorecard_learner(features.INTAKE))
+    return metrics.evaluate_binary(scores, by=["split", "label_name", "model"])
+
+
+def _scorecard_evaluation(frame: DataFrame) -> DataFrame:
+    return _scorecard_grid(frame).drop("label_name", "model")
+
+
+def _scorecard_sensitivity(frame: DataFrame) -> DataFrame:
+    return split_sensitivity(materialise(_scorecard_grid(frame), "grid"), MODEL_LABEL, "scorecard")
+
+
+def _scorecard_ablations(frame: DataFrame) -> DataFrame:
+    split = materialise(splits.chrono_split(frame), "chronological")
+    scores = models.ablation_scores(split, label=MODEL_LABEL, learn=scorecard.learn_scorecard)
+    return metrics.evaluate_binary(scores, by=["ablation"])
+
+
+def _scorecard_in_segment(frame: DataFrame) -> DataFrame:
+    split = materialise(splits.chrono_split(frame), "chronological")
+    scores = models.segment_auc_scores(
+        split, "created_hour", F.col("issue_type") == "Bug", MODEL_LABEL, scorecard.learn_scorecard
+    )
+    points = metrics.curve_points(materialise(scores, "scores"))
+    return metrics.ranking_metrics(points)
+
+
+def _scorecard_importance(train: DataFrame, test: DataFrame) -> DataFrame:
+    card = scorecard.learn_scorecard(train, MODEL_LABEL, features.INTAKE)
+    return importance.permutation_importance(card, test, MODEL_LABEL)
+
+
 def _text_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of a document from its words: TF-IDF and logistic regression."""
     labelled = (
@@ -425,6 +509,11 @@ def queries() -> dict[str, Query]:
             lambda v: raw.flag_missing_resolver(v.log).select("event_id", "resolver", "resolver_missing"),
         ),
         "exported_reports": _exported,
+        "exported_rows": _counted_exports,
+        "exported_group": lambda spark, d: _counted_exports(spark, d, "bottlenecks"),
+        "unloaded_case_table": _unloaded_case_table,
+        "cleaned_headers": _cleaned_headers,
+        "log_versions": _log_versions,
         # Superseded analyses.
         "backward_bottlenecks": _over(_user, lambda v: legacy.backward_bottlenecks(v.log)),
         "legacy_case_cycle": _over(_user, lambda v: legacy.legacy_case_cycle(v.log)),
@@ -531,6 +620,12 @@ def queries() -> dict[str, Query]:
         "ablations": _on_frame(_ablations),
         "single_feature_in_segment": _on_frame(_single_feature),
         "text_model": _text_model,
+        "scorecard_points": _on_parts(_scorecard_points),
+        "scorecard_evaluation": _on_frame(_scorecard_evaluation),
+        "scorecard_sensitivity": _on_frame(_scorecard_sensitivity),
+        "scorecard_ablations": _on_frame(_scorecard_ablations),
+        "scorecard_in_segment": _on_frame(_scorecard_in_segment),
+        "scorecard_importance": _on_parts(_scorecard_importance),
         # The same operators on the larger log of shipments.
         "shipment_case_metrics": _over(_shipments, lambda v: views.case_metrics(v.log)),
         "shipment_transition_metrics": _over(_shipments, lambda v: views.transition_metrics(v.log)),

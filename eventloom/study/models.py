@@ -5,7 +5,7 @@ Scored rows have the columns ``case_id, split, label_name, model, label, score``
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -322,25 +322,35 @@ def ablate(
     name: str,
     label: str = "reached_level_3",
     focus_variant: str = FOCUS_VARIANT,
+    learn: Callable[[DataFrame, str, FeatureSet], Fitted] = logreg,
 ) -> DataFrame:
     """Scores of one ablation: other features, or without the cases of one variant."""
     if name == "without_focus_variant":
         split = split.where(~F.col("variant").eqNullSafe(F.lit(focus_variant)))
-    fitted = logreg(train_of(split), label, ABLATIONS[name])
+    fitted = learn(train_of(split), label, ABLATIONS[name])
     return fitted.scored(held_out(split), label).select(
         "case_id", F.lit(name).alias("ablation"), "label", "score"
     )
 
 
 def ablation_scores(
-    split: DataFrame, names: Sequence[str] = tuple(ABLATIONS), label: str = "reached_level_3"
+    split: DataFrame,
+    names: Sequence[str] = tuple(ABLATIONS),
+    label: str = "reached_level_3",
+    learn: Callable[[DataFrame, str, FeatureSet], Fitted] = logreg,
 ) -> DataFrame:
-    together = reduce(DataFrame.unionByName, [ablate(split, name, label) for name in names])
+    together = reduce(DataFrame.unionByName, [ablate(split, name, label, learn=learn) for name in names])
     return materialise(together, "ablations")
 
 
-def segment_auc_scores(split: DataFrame, feature: str, condition: Column, label: str) -> DataFrame:
+def segment_auc_scores(
+    split: DataFrame,
+    feature: str,
+    condition: Column,
+    label: str,
+    learn: Callable[[DataFrame, str, FeatureSet], Fitted] = logreg,
+) -> DataFrame:
     """Scores from a single numeric feature inside a segment of the cases."""
     inside = split.where(condition)
-    fitted = logreg(train_of(inside), label, FeatureSet(numeric=[feature]))
+    fitted = learn(train_of(inside), label, FeatureSet(numeric=[feature]))
     return fitted.scored(held_out(inside), label)

@@ -122,6 +122,57 @@ def test_short_write_is_refused_and_readers_keep_the_old_version(spark, log, tmp
     assert sinks.read_log(spark, path).count() == len(ROWS)
 
 
+def test_of_two_loads_at_once_one_comes_after_the_other(spark, log, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    sinks.write_log(log, path)
+    sinks.write_version(log.where("case_id = 'A'"), path, "a")
+    sinks.write_version(log.where("case_id = 'B'"), path, "b")
+    # Both saw version 1 as the latest.
+    seen = sinks.latest(spark, path)
+    monkeypatch.setattr(sinks, "latest", lambda *args: seen)
+    assert [sinks.publish(spark, path, "a", 4, 1), sinks.publish(spark, path, "b", 6, 1)] == [2, 3]
+    monkeypatch.undo()
+    assert {r["case_id"] for r in sinks.read_log(spark, path).collect()} == {"B"}
+    assert {r["case_id"] for r in sinks.read_log(spark, path, 2).collect()} == {"A"}
+    with pytest.raises(ValueError, match="no published version 4"):
+        sinks.read_log(spark, path, 4)
+
+
+def test_a_load_that_was_overtaken_is_not_published(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    sinks.write_log(log, path, after=0)
+    sinks.write_log(log.where("case_id <> 'F'"), path, after=1)
+    with pytest.raises(sinks.Overtaken):
+        sinks.write_log(log, path, after=1)
+    assert sinks.read_log(spark, path).count() == len(ROWS) - 1
+
+
+def test_what_an_interrupted_load_leaves_behind_is_not_seen(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    with pytest.raises(ValueError, match="no published version"):
+        sinks.read_log(spark, path)
+    sinks.write_log(log, path)
+    sinks.write_version(log.where("case_id = 'A'"), path, "unpublished")
+    # A record whose writer died, and one of a short version.
+    (tmp_path / "log" / "published" / "000000000002.json").write_text('{"number": 2, "vers')
+    assert sinks.read_log(spark, path).count() == len(ROWS)
+    sinks.write_version(log.where("case_id = 'B'"), path, "short")
+    assert sinks.publish(spark, path, "short", 9, 1) == 3
+    lines = {r["version"]: r for r in sinks.audit(spark, path).collect()}
+    assert (lines["unpublished"]["number"], lines["unpublished"]["rows_found"], lines["unpublished"]["whole"]) == (None, 4, False)
+    assert (lines["short"]["rows_found"], lines["short"]["whole"], lines["short"]["current"]) == (6, False, True)
+    first = next(r for r in lines.values() if r["number"] == 1)
+    assert first["whole"] and first["rows"] == len(ROWS)
+
+
+def test_records_of_one_time_have_one_order(spark, tmp_path):
+    folder = tmp_path / "log" / "published"
+    folder.mkdir(parents=True)
+    line = '{"version": "%s", "published_at": "2023-01-01T00:00:00Z", "rows": 1, "cases": 1}'
+    (folder / "old.json").write_text("\n".join(line % v for v in "bca"))
+    assert sinks.latest(spark, str(tmp_path / "log"))["version"] == "c"
+
+
 def test_parity_sees_moved_events(log):
     moved = log.withColumn("case_id", F.when(F.col("event_id") == 1, "B").otherwise(F.col("case_id")))
     lines = {r["check"]: r["passed"] for r in validate.parity(log, moved).collect()}
