@@ -165,9 +165,14 @@ def _counted_exports(spark: SparkSession, sf_dir: str, group: str | None = None)
 
 
 def _unloaded_case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The case table of an export that is not stored as a log."""
+    """The case table of an export that is not stored as a log.
+
+    A reload refuses logs with cases of a single event, so those are left to ``min_events``.
+    """
     folder = f"{shared_dir(spark).rstrip('/')}/reload/{uuid.uuid4().hex}"
-    text = raw_export(_user(spark, sf_dir), mixed=True)
+    log = _user(spark, sf_dir)
+    alone = log.groupBy("case_id").agg(F.count("*").alias("n")).where("n < 2")
+    text = raw_export(log.join(alone, "case_id", "left_anti"), mixed=True)
     ordered = text.repartitionByRange(ROW).sortWithinPartitions(ROW).drop(ROW)
     ordered.write.csv(folder, sep=";", header=True, quote='"', escape='"')
     return reload(spark, folder)
