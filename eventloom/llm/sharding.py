@@ -8,15 +8,17 @@ shard only takes rows into itself, and a shard's weight is its expected share.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.ordered import CHUNK_ROWS, global_rank
 from eventloom.functions.storage import materialise
 from eventloom.llm.base import documents, text_or_empty
 
 SHARDS = 24
-#: Each shard's rows are numbered in so many parts, by the first two hex digits of a hash.
+#: Rows of a shard are numbered in order of so many hex digits of a hash, then of the id.
 PARTS_DIGITS = 2
 
 
@@ -43,9 +45,9 @@ def shard_documents(docs: DataFrame, weights: Sequence[float] = (1.0,) * SHARDS,
     equal ids share a shard; repeated rows keep a row and a slot each.  An empty table
     gives an empty result; further columns of ``docs`` are ignored.
 
-    Slots are numbered within (shard, part of the key space), at most 256 parts a shard,
-    and moved up by the sizes of the earlier parts: no task holds a whole shard, and the
-    table of sizes has 256 rows a shard at most.
+    Slots follow from one range-partitioned sort by (shard, hash, doc_id, checksum, size, row
+    number), in ranges of about a million rows.  The row number tells equal rows apart, so
+    neither a shard nor an id that many rows share is ever one task.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     size = F.octet_length(text_or_empty()).cast("long") + 8
@@ -56,27 +58,22 @@ def shard_documents(docs: DataFrame, weights: Sequence[float] = (1.0,) * SHARDS,
         rendezvous(key, weights).alias("shard"),
         rendezvous(key, [*weights, grown]).alias("grown_shard"),
         F.substring(F.md5(key), 1, PARTS_DIGITS).alias("part"),
+        F.monotonically_increasing_id().alias("row"),
     )
     placed = materialise(narrow, "sharded")
-    by_part = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("shard", "part")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("shard", "part", F.coalesce(F.sum("n").over(by_part), F.lit(0)).alias("start"))
-    )
-    within = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")
-    return (
-        placed.withColumn("rank", F.row_number().over(within))
-        .join(F.broadcast(starts), ["shard", "part"])
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.lit("key").alias("law"),
-            F.col("shard").cast("int").alias("shard"),
-            (F.col("start") + F.col("rank") - 1).cast("long").alias("slot"),
-            F.col("grown_shard").cast("int").alias("grown_shard"),
-        )
+    sizes = dict(placed.groupBy("shard").count().collect())  # one row a shard
+    starts = accumulate((sizes.get(s, 0) for s in range(len(weights) - 1)), initial=0)
+    chunks = max(-(-sum(sizes.values()) // CHUNK_ROWS), docs.sparkSession.sparkContext.defaultParallelism)
+    ranked = global_rank(placed, ["shard", "part", "doc_id", "text_crc32", "size", "row"], chunks=chunks)
+    start = F.array(*map(F.lit, starts))[F.col("shard")]
+    return ranked.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("key").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        (F.col("rank") - 1 - start).cast("long").alias("slot"),
+        F.col("grown_shard").cast("int").alias("grown_shard"),
     )
 
 
