@@ -154,7 +154,7 @@ def with_following(docs: DataFrame, bytes_each: int = 32 << 20) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     dealt = rows.mapInArrow(deal, "part int, border boolean, place long, doc_id long, text string")
-    return dealt.repartition(max(1, len(starts)), "part").sortWithinPartitions("part", "border", "place", "text")
+    return dealt.repartitionById(max(1, len(starts)), F.col("part")).sortWithinPartitions("part", "border", "place", "text")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def _answered(asked: DataFrame, parts: int) -> DataFrame:
         rows = [(b, part, _squeeze(t)) for (b, *_), t in zip(held, np.split(totals, ends), strict=True)]
         return pd.DataFrame(rows, columns=["batch", "part", "totals"])
 
-    dealt = asked.repartition(parts, "part").sortWithinPartitions("part", "batch")
+    dealt = asked.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "batch")
     return dealt.mapInPandas(answer, "batch long, part int, totals binary")
 
 
