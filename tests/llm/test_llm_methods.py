@@ -12,6 +12,8 @@ import duckdb
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from eventloom.llm import bpe, fingerprints, jaccard, language, packing, quality, registry, repeats, sharding
 
 DATA = Path("/root/testdata/sf0.001")
@@ -131,6 +133,17 @@ def test_weights_are_shares(spark):
     assert [abs(counts[s] / 20_000 - w / 8) < 0.02 for s, w in enumerate((1, 2, 5))] == [True] * 3
 
 
+def test_an_id_of_many_rows_is_cut(spark):
+    """Two thirds of the rows are equal, and no task numbers more than its share."""
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, id, 7) AS doc_id", "if(id % 3 = 0, '', 'copy') AS text")
+    out = sharding.shard_documents(rows, (1.0, 1.0)).select("*", F.spark_partition_id().alias("task")).collect()
+    for shard in (0, 1):
+        slots = [r.slot for r in out if r.shard == shard]
+        assert slots and sorted(slots) == list(range(len(slots)))
+    assert len({r.shard for r in out if r.doc_id == 7}) == 1
+    assert max(Counter(r.task for r in out).values()) <= 10_000
+
+
 # --- Quality ------------------------------------------------------------------------
 
 
@@ -174,7 +187,8 @@ def test_quality_tells_junk(spark):
     rows = run(spark, "op4_quality_rules")
     judged = [(q, rows[d].kept) for d, q in labels if not rows[d].base_failed]
     good = [k for q, k in judged if q]
-    assert sum(good) >= 0.95 * len(good)
+    junk = [k for q, k in judged if not q]
+    assert sum(good) >= 0.95 * len(good) and junk and sum(junk) <= 0.05 * len(junk)
 
 
 # --- BPE ----------------------------------------------------------------------------
@@ -261,6 +275,40 @@ def test_signatures_by_hand():
         assert abs(x - y) <= 1
 
 
+def signatures_by_hand(text):
+    words = [w for w in (re.sub(r"^\W+|\W+$", "", u.lower()) for u in text.split()) if w]
+    found = set()
+    for i, word in enumerate(words):
+        chain = [w for w in words[i + 1 :] if w not in fingerprints.ANCHORS][: fingerprints.CHAIN] if word in fingerprints.ANCHORS else []
+        if len(chain) == fingerprints.CHAIN:
+            found.add((word, *chain))
+    if not found and len(words) < 3:
+        return set(words)
+    return found or {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+
+
+def test_fingerprints_of_documents(spark, table):
+    """Likenesses of every document, from sets of words; a fingerprint tells sets apart."""
+    texts = [text or "" for _, text, *_ in table]
+    rows, sets, shown = run(spark, "op8_spot_signatures"), [signatures_by_hand(t) for t in texts], defaultdict(set)
+
+    def alike(a, b):
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    for i, (doc, *_) in enumerate(table):
+        row, after = rows[doc], (i + 1) % len(table)
+        half = len(texts[i]) // 2
+        edited = texts[i][: len(texts[i]) - half] + texts[after][:half]
+        changed = signatures_by_hand(edited)
+        assert row.n_chars == len(texts[i]) and row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert row.near_edited == pytest.approx(alike(sets[i], changed), abs=1e-12)
+        assert row.near_next == pytest.approx(alike(sets[i], sets[after]), abs=1e-12)
+        assert row.similar_next == (alike(sets[i], sets[after]) >= 0.8)
+        shown[frozenset(sets[i])].add(row.fingerprint)
+        shown[frozenset(changed)].add(row.edited_fingerprint)
+    assert all(len(x) == 1 for x in shown.values()) and len(set().union(*shown.values())) == len(shown)
+
+
 def test_jaccard_prunes_by_length():
     a, b = np.arange(10, dtype=np.uint64), np.arange(5, dtype=np.uint64)
     assert fingerprints.jaccard(a, b) == 0.5 and fingerprints.jaccard(a, b, 0.8) == 0.0
@@ -312,6 +360,31 @@ def test_language_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
 
 
+def test_languages_of_documents(spark, table):
+    """Each prediction again, from longest matches looked up in the training text itself."""
+    training = language.learn(spark.read.parquet(f"{DATA}/documents.parquet"))
+    names, known = sorted(training), {}
+
+    def phrases(word, text):
+        count, at = 0, 0
+        while at < len(word):
+            end = at + 1
+            while end < len(word) and word[at : end + 1] in text:
+                end += 1
+            at, count = end, count + 1
+        return count
+
+    for row in run(spark, "op9_cross_parsing_language").values():
+        text = next(t for d, t, *_ in table if d == row.doc_id)
+        units = [w for w in re.findall(r"[^\W\d_]+", (text or "").lower()) if any(map(str.isalpha, w))]
+        for w in units:
+            if w not in known:
+                known[w] = [phrases(f" {w} ", training[x]) for x in names]
+        costs = sorted((sum(known[w][k] for w in units), x) for k, x in enumerate(names))
+        wanted = (costs[0][1], 1 - costs[0][0] / costs[1][0]) if units else ("und", 0.0)
+        assert row.lang_pred == wanted[0] and row.score == pytest.approx(wanted[1], abs=1e-12)
+
+
 def test_texts_without_letters_are_unknown():
     parse = language.CrossParser({"a": " the cat ", "b": " der hund "})
     assert parse("½ ² Ⅷ 12 _ !")[0] == parse("")[0] == "und"
