@@ -23,14 +23,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return "/".join([*parts, uuid.uuid4().hex, label])
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and return the written table.
 
     Cuts lineage, survives the loss of executors, and later readers get column
-    pruning.  Each call writes a new folder, so nothing is ever overwritten.
+    pruning.  Each call writes a new folder, so nothing is ever overwritten.  ``codec``
+    is the session's unless given.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
