@@ -47,7 +47,7 @@ from eventloom.llm.base import (
     text_or_empty,
     turn_of,
 )
-from eventloom.llm.batches import bucketed
+from eventloom.llm.batches import LEVEL, bucketed
 
 #: Words in an n-gram, and the least Jaccard coefficient of a link.
 WORDS, LEAST = 5, 0.8
@@ -127,7 +127,7 @@ def _shingled(docs: DataFrame) -> DataFrame:
 
     ship_package(docs.sparkSession)
     added = [T.StructField(KEY, T.BinaryType()), T.StructField(SKETCH, T.BinaryType())]
-    return materialise(docs.mapInArrow(shingle, T.StructType([*docs.schema.fields, *added])), "shingled")
+    return materialise(docs.mapInArrow(shingle, T.StructType([*docs.schema.fields, *added])), "shingled", "zstd")
 
 
 def _sets(shingled: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def _sets(shingled: DataFrame) -> DataFrame:
 
     def pack(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            frame["packed"] = [zstandard.compress(t.encode("utf-8"), 1) for t in frame.pop("text")]
+            frame["packed"] = [zstandard.compress(t.encode("utf-8"), LEVEL) for t in frame.pop("text")]
             yield frame
 
     rows = shingled.filter(F.col(SKETCH).isNotNull())
