@@ -18,10 +18,23 @@ class ValidationError(ValueError):
     """A check found rows that would corrupt the metrics."""
 
 
+def dealt_by_event(log: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """The event key and ``columns``, in partitions of a bounded size, for groupings by that key.
+
+    Nearly every event is a group of its own, so the map of a task's groups is as large as its
+    rows, and files that compress well have many rows a split.  The row's identity is dealt by
+    as well: Spark then adds up within these partitions before it brings a key together, and
+    may cut one that many copies of a key have filled.
+    """
+    by = [c for c in (*EVENT_KEY, "event_id") if c in log.columns]
+    return log.select(*dict.fromkeys([*by, *columns])).hint("rebalance", *by)
+
+
 def duplicate_events(log: DataFrame) -> DataFrame:
     """Keys that occur more than once, and by how many rows; NULL events are equal."""
     return (
-        log.groupBy(*EVENT_KEY)
+        dealt_by_event(log)
+        .groupBy(*EVENT_KEY)
         .agg((F.count("*") - 1).alias("surplus_rows"))
         .where(F.col("surplus_rows") > 0)
     )
@@ -58,7 +71,7 @@ def validation_summary(
     Events are first counted per (case, time, event).  That spreads a large case over
     many tasks, and leaves one partial row per task and case for the second step.
     """
-    keys = log.groupBy(*EVENT_KEY).agg(
+    keys = dealt_by_event(log, dims).groupBy(*EVENT_KEY).agg(
         F.count("*").alias("_n"),
         *[F.min(c).alias(f"_lo_{c}") for c in dims],
         *[F.max(c).alias(f"_hi_{c}") for c in dims],

@@ -157,3 +157,14 @@ def test_null_is_not_a_second_value(spark):
     rows = [r for r in ROWS if r[0] == "A"]
     holes = build(spark, rows[:3] + [rows[3][:1] + (None,) + rows[3][2:]])
     assert validate.check_constant(holes).where("varying_cases > 0").count() == 0
+
+
+def test_events_are_dealt_before_they_are_grouped(spark):
+    """A task's map of groups must not grow with what a split of a well compressed file holds."""
+    twice = build(spark, [*ROWS, *ROWS, ROWS[0]])
+    found = validate.duplicate_events(twice)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RebalancePartitions")
+    assert sum(r["surplus_rows"] for r in found.collect()) == len(ROWS) + 1
+    checks = {r["check"]: r["failures"] for r in validate.validation_summary(twice).collect()}
+    assert checks["duplicate events"] == len(ROWS) + 1
