@@ -278,3 +278,32 @@ def test_intermediates_leave_nothing_behind(spark, tmp_path):
     with intermediates(spark):
         assert materialise(spark.range(5), "five").count() == 5 and files() > before
     assert files() == before
+
+
+def test_text_is_parsed_once(spark, tmp_path, monkeypatch):
+    """Numbering reads typed rows several times, not the text."""
+    seen, number = [], raw.assign_event_ids
+    monkeypatch.setattr(raw, "assign_event_ids", lambda typed: seen.append(typed.inputFiles()) or number(typed))
+    raw.load_log(spark, write(tmp_path / "raw", LINES))
+    assert seen[0] and all(f.endswith(".parquet") for f in seen[0])
+
+
+def test_white_space_around_text(spark):
+    """As a regular expression has it, also before a last line end that is no white space."""
+    texts = [" a b\t", "\n\x0b\x0c\r x \r\n", "   ", "", None, "a \u0085", " \u2028", "\u00a0a\u00a0", "a \u2029 "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    by_expression = F.nullif(F.regexp_replace("t", r"^\s+|\s+$", ""), F.lit(""))
+    assert all(a == b for a, b in df.select(raw.clean_text("t"), by_expression).collect())
+
+
+def test_formats_fit_the_texts_they_did(spark):
+    """A format is tried on texts with its separators only, which changes no time."""
+    assert raw._outline("d/M/yyyy H:mm[:ss][.SSSSSS]") == "%/%/% %:%"
+    assert raw._outline("yyyy-M-d'T'H:mm[:ss][.SSSSSS]") == "%-%-%:%"
+    days = ["1/2/2023", "01/02/2023", "2023-1-2", "1.2.2023", "1-2-2023", "31/2/2023", "2023/1/2", "0005-1-2023"]
+    clocks = ["", " 1:02", " 01:02", "T1:02:03", "t01:02:03.5", " 1:02:03.123456", "  1:02", " 25:00", " "]
+    texts = [q + d + c + q for d in days for c in clocks for q in ("", '"', " ", "\n")] + ["", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = [F.from_csv("t", "t timestamp_ntz", {"timestampNTZFormat": f, "sep": "\u0001"})["t"] for f in raw.TIMESTAMP_FORMATS]
+    rows = df.select("t", raw.parse_ts("t", lenient=False).alias("got"), F.coalesce(*plain).alias("want")).collect()
+    assert [r for r in rows if r["got"] != r["want"]] == [] and any(r["got"] for r in rows)
