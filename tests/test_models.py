@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -301,3 +302,48 @@ def test_baselines(split):
     one_class = train.withColumn("reached_level_3", F.lit(0))
     with pytest.raises(ValueError, match="single class"):
         models.logreg(one_class, "reached_level_3")
+
+
+def test_tasks_add_up_histograms():
+    """Sums of a task's batches against plain loops; rows held back and rows elsewhere count apart."""
+    tree = {"feature": [0, -1, 1, -1, -1], "bin": [1, -1, 0, -1, -1], "left": [1, -1, 3, -1, -1], "right": [2, -1, 4, -1, -1], "depth": 2}
+    known = {"feature": [1, -1, -1], "bin": [1, -1, -1], "left": [1, -1, -1], "right": [2, -1, -1], "depth": 1, "value": [0.0, 0.25, -0.5]}
+    rows = [([i % 3, i * 7 % 4], 0.125 * (i % 5), float(i % 2) if i % 11 else None, i % 6 == 0) for i in range(60)]
+    fields = [("bins", pa.list_(pa.int32())), ("f", pa.float64()), ("y", pa.float64()), ("out", pa.bool_())]
+    table = pa.table([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(fields)], [n for n, _ in fields])
+    add_up = boosting.cells_of([known], tree, {1: 0, 3: 1}, "squared", 2, 4)
+    found = [r for b in add_up(table.to_batches(max_chunksize=13)) for r in b.to_pylist()]
+    want = {}
+    for bins, f, y, out in rows:
+        raw = f + (0.25 if bins[1] <= 1 else -0.5)
+        node = 0 if bins[0] <= 1 else 1 if bins[1] <= 0 else None
+        off = raw - y if y is not None else 0.0
+        cells = [(-1, -1, -1)] if out else [] if node is None else [(node, i, b) for i, b in enumerate(bins)]
+        for cell in cells:
+            g, h, n = want.get(cell, (0, 0, 0))
+            want[cell] = (g + int((0.5 * off * off if out else off) * (1 << 20)), h + (1 << 20), n + 1)
+    assert {(r["node"], r["feature"], r["bin"]): (r["g"], r["h"], r["n"]) for r in found} == want
+
+
+class CountedScores:
+    """A model that counts how often it scores a row."""
+
+    features = FeatureSet(["priority"])
+
+    def __init__(self, spark):
+        self.times = times = spark.sparkContext.accumulator(0)
+
+        def score(text):
+            times.add(1)
+            return float(len(text))
+
+        self.score = F.udf(score, "double").asNondeterministic()
+
+    def scored(self, frame, label, keep=("case_id",)):
+        return frame.select(*keep, F.col(label).cast("int").alias("label"), self.score("priority").alias("score"))
+
+
+def test_importance_scores_each_row_once(frame, spark):
+    model, few = CountedScores(spark), frame.limit(200)
+    out = importance.permutation_importance(model, few, "reached_level_3", ["priority"], n_repeats=2).collect()
+    assert len(out) == 1 and model.times.value == 3 * 200
