@@ -16,17 +16,28 @@ from .models import Fitted
 from .splits import SEED
 
 
+def placed_rows(frame: DataFrame, key: str = "case_id") -> DataFrame:
+    """The rows numbered by key: the same for all repeats."""
+    return global_rank(frame, [key], "_place").drop("_place_all")
+
+
 def shuffled_copies(
-    frame: DataFrame, features: Sequence[str], repeat: int, seed: int = SEED, key: str = "case_id"
+    frame: DataFrame,
+    features: Sequence[str],
+    repeat: int,
+    seed: int = SEED,
+    key: str = "case_id",
+    placed: DataFrame | None = None,
 ) -> DataFrame:
     """One copy of the rows per feature, in which that column comes from another row.
 
     Rows are numbered in two orders, by key and by a hash of key, seed and repeat; the
     row at place i of the first order takes the value at place i of the second.  All
-    features of a repeat share the permutation, so it costs one join.
+    features of a repeat share the permutation, so it costs one join.  ``placed`` is
+    ``placed_rows`` of the frame, where several repeats share it.
     """
     chance = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), F.lit(str(repeat))))
-    fixed = global_rank(frame, [key], "_place").drop("_place_all")
+    fixed = placed_rows(frame, key) if placed is None else placed
     donors = global_rank(frame.withColumn("_chance", chance), ["_chance", key], "_place").select(
         "_place", F.struct(*features).alias("_donor")
     )
@@ -52,16 +63,19 @@ def permutation_importance(
     """Mean and spread of the loss in average precision, per feature."""
     features = list(features or model.features.names)
     frame = materialise(frame, "importance")
-    whole = ranking_metrics(curve_points(model.scored(frame, label))).first()["pr_auc"]
+    whole = ranking_metrics(curve_points(materialise(model.scored(frame, label), "scores"))).first()["pr_auc"]
+    placed = placed_rows(frame)
     scores = reduce(
         DataFrame.unionByName,
         [
             model.scored(
-                shuffled_copies(frame, features, repeat, seed), label, keep=["feature", "repeat"]
+                shuffled_copies(frame, features, repeat, seed, placed=placed), label, keep=["feature", "repeat"]
             )
             for repeat in range(n_repeats)
         ],
     )
+    # Ranking reads its rows several times; the model should score them once.
+    scores = materialise(scores, "scores")
     by = ["feature", "repeat"]
     shuffled = ranking_metrics(curve_points(scores, by=by), by)
     drop = F.lit(float(whole)) - F.col("pr_auc")
