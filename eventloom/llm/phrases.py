@@ -7,24 +7,28 @@ the next round, where neighbours overlap in all words but two: a phrase of k + 1
 pair of phrases of k words.
 
 Texts are encoded once, in batches of one language.  From then on a batch sends each of its
-distinct words or pairs once, with its count, and gets back the ids of the frequent ones.
+distinct words or pairs once, with its count, and gets back the ids of the frequent ones.  What
+it sends is cut into parts by a hash and squeezed, so a row is a batch's share of a part and
+not a pair.  A part of a language is added up by one task; it ranks what it finds frequent, and
+the ranks of all parts are interleaved.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.ordered import running_totals
 from eventloom.functions.storage import materialise
-from eventloom.llm.base import documents, give_back, ship_package, text_or_empty
+from eventloom.llm.base import documents, give_back, mix, ship_package, text_or_empty
 
 LEAST = 100
 LONGEST = 5
@@ -37,6 +41,10 @@ TILE_BITS = 10
 DENSE_TILES = 4
 DENSE_PAIRS = 1 << 16
 
+#: Parts of a language, at least; more if that leaves over so many words of text to one.
+PARTS = 64
+PART_WORDS = 8 << 20
+
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _PLAIN = bytes.maketrans(_ENDS + b"\t" + _UPPER, b"." * len(_ENDS) + b" " + _UPPER.lower())
@@ -47,19 +55,120 @@ def words_and_ends(text: str) -> list[bytes]:
     return text.encode().translate(_PLAIN).replace(b".", b" . ").split()
 
 
-def _squeeze(values: np.ndarray) -> bytes:
+_squeezer = zstandard.ZstdCompressor(level=3)
+
+
+def _squeeze(values: np.ndarray, kind: type = np.int32) -> bytes:
     """Bytes of equal weight lie together, so that small numbers compress."""
-    return zstandard.compress(values.astype(np.int32).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+    wide = np.dtype(kind).itemsize
+    return _squeezer.compress(values.astype(kind).view(np.uint8).reshape(-1, wide).T.tobytes())
 
 
-def _unsqueeze(data: bytes) -> np.ndarray:
+def _unsqueeze(data: bytes, kind: type = np.int32) -> np.ndarray:
     flat = np.frombuffer(zstandard.decompress(data), np.uint8)
-    return np.ascontiguousarray(flat.reshape(4, -1).T).view(np.int32).ravel()
+    return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+# --- Parts --------------------------------------------------------------------------
+
+_PART_ROWS = "array<struct<part: int, start: int, keys: binary, counts: binary>>"
+_PART = pa.struct([("part", pa.int32()), ("start", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _cut(part: np.ndarray, counts: np.ndarray, keys: Callable[[int, int], bytes]) -> pa.Array:
+    """One row's list of parts.  Items are in the order of their parts, and places follow it:
+    the first item of a part has the place ``start + 1``."""
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(starts, len(part))[1:]
+    cuts = [
+        {"part": int(part[s]), "start": int(s), "keys": keys(s, e), "counts": _squeeze(counts[s:e], np.int64)}
+        for s, e in zip(starts, ends, strict=True)
+    ]
+    return pa.array([cuts], pa.list_(_PART))
+
+
+def _ranked(table: pa.Table, parts: int, inverse: np.ndarray, totals: np.ndarray, least: int, keys: Callable) -> pa.Table:
+    """What is told to the batches of one part, and a row without a batch that lists the
+    frequent items.  ``inverse`` has the batches' items as places in ``totals``, which are in
+    the order of the keys; ``keys`` gives the columns of those at some places."""
+    part = table.column("part")[0].as_py()
+    often = np.flatnonzero(totals >= least)
+    often = often[np.argsort(-totals[often], kind="stable")]
+    numbers = np.zeros(len(totals), np.int64)
+    numbers[often] = np.arange(len(often)) * parts + part + 1
+    batches, places, ids = [], [], []
+    at = 0
+    for batch, start, size in zip(*(table.column(c).to_pylist() for c in ("batch", "start", "size")), strict=True):
+        told = numbers[inverse[at : at + size]]
+        at += size
+        known = np.flatnonzero(told)
+        if len(known):
+            batches.append(batch)
+            places.append(_squeeze(np.diff(known + start + 1, prepend=0)))
+            ids.append(_squeeze(told[known], np.int64))
+    found = {**keys(often), "f": pa.array(totals[often], pa.int64()), "id": pa.array(numbers[often], pa.int64())}
+    offsets = pa.array([0] * (len(batches) + 1) + [len(often)], pa.int32())
+    columns = {
+        "lang": pa.array([table.column("lang")[0].as_py()] * (len(batches) + 1), pa.string()),
+        "batch": pa.array([*batches, None], pa.int64()),
+        "places": pa.array([*places, None], pa.binary()),
+        "ids": pa.array([*ids, None], pa.binary()),
+        **{name: pa.ListArray.from_arrays(offsets, values) for name, values in found.items()},
+    }
+    return pa.table(columns)
+
+
+def add_words(table: pa.Table, parts: int, least: int) -> pa.Table:
+    """One part of the words of a language, added up over all batches."""
+    lists = [pa.array(zstandard.decompress(k).split(b" "), pa.large_binary()) for k in table.column("keys").to_pylist()]
+    counts = [_unsqueeze(c, np.int64) for c in table.column("counts").to_pylist()]
+    coded = pa.concat_arrays(lists).dictionary_encode()
+    by_key = pc.sort_indices(coded.dictionary).to_numpy()
+    place = np.empty(len(by_key), np.int64)
+    place[by_key] = np.arange(len(by_key))
+    inverse = place[coded.indices.to_numpy()]
+    order = np.argsort(inverse, kind="stable")
+    totals = np.add.reduceat(np.concatenate(counts)[order], np.flatnonzero(np.diff(inverse[order], prepend=-1)))
+    table = table.append_column("size", pa.array([len(c) for c in counts], pa.int64()))
+
+    def keys(often: np.ndarray) -> dict[str, pa.Array]:
+        return {"word": coded.dictionary.take(pa.array(by_key[often])).cast(pa.string())}
+
+    return _ranked(table, parts, inverse, totals, least, keys)
+
+
+def add_pairs(table: pa.Table, parts: int, least: int) -> pa.Table:
+    """One part of the pairs of a language, added up over all batches."""
+    firsts, seconds, counts = [], [], []
+    for keys, times in zip(*(table.column(c).to_pylist() for c in ("keys", "counts")), strict=True):
+        both = _unsqueeze(keys, np.int64)
+        firsts.append(np.cumsum(both[: len(both) // 2]))
+        seconds.append(both[len(both) // 2 :])
+        counts.append(_unsqueeze(times, np.int64))
+    table = table.append_column("size", pa.array([len(c) for c in counts], pa.int64()))
+    a, b, counts = np.concatenate(firsts), np.concatenate(seconds), np.concatenate(counts)
+    del firsts, seconds
+    if a.max() < 1 << 31 and b.max() < 1 << 32:
+        order = np.argsort(a << 32 | b, kind="stable")
+    else:
+        order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    inverse = np.empty(len(a), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    totals = np.add.reduceat(counts[order], np.flatnonzero(new))
+    a, b = a[new], b[new]
+
+    def keys(often: np.ndarray) -> dict[str, pa.Array]:
+        return {"a": pa.array(a[often], pa.int64()), "b": pa.array(b[often], pa.int64())}
+
+    return _ranked(table, parts, inverse, totals, least, keys)
 
 
 # --- Words --------------------------------------------------------------------------
 
-_WORD_ROWS = "batch long, lang string, n long, places binary, word array<string>, n_batch array<long>"
+_WORD_ROWS = f"batch long, lang string, n long, places binary, parts {_PART_ROWS}"
 
 
 class Words:
@@ -79,19 +188,25 @@ class Words:
         self.size += len(text)
 
     def row(self, batch: int, lang: str) -> pa.RecordBatch:
-        places = np.concatenate(self.parts)
-        counts = np.bincount(places, minlength=len(self.index))[1:]
-        words = [w.decode() for w in self.index][1:]
+        words = sorted(self.index)
+        part = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % PARTS
+        part[words.index(b".")] = -1
+        order = np.argsort(part, kind="stable")
+        words = [words[i] for i in order]
+        anew = np.empty(len(words), np.int32)
+        anew[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))] = np.arange(len(words))
+        places = anew[np.concatenate(self.parts)]
+        counts = np.bincount(places, minlength=len(words))[1:]
+        parts = _cut(part[order][1:], counts, lambda s, e: _squeezer.compress(b" ".join(words[s + 1 : e + 1])))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([batch], pa.int64()),
                 pa.array([lang], pa.string()),
                 pa.array([int(counts.sum())], pa.int64()),
                 pa.array([_squeeze(places)], pa.binary()),
-                pa.array([words], pa.list_(pa.string())),
-                pa.array([counts], pa.list_(pa.int64())),
+                parts,
             ],
-            ["batch", "lang", "n", "places", "word", "n_batch"],
+            ["batch", "lang", "n", "places", "parts"],
         )
 
 
@@ -126,7 +241,7 @@ def _encoded(docs: DataFrame) -> DataFrame:
 
 # --- Pairs --------------------------------------------------------------------------
 
-_PAIR_ROWS = "batch long, lang string, places binary, a array<long>, b array<long>, n_batch array<long>"
+_PAIR_ROWS = f"batch long, lang string, places binary, parts {_PART_ROWS}"
 
 
 def count_pairs(
@@ -181,7 +296,21 @@ def next_places(places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[kept], a, b, counts
 
 
-def _paired(encoded: DataFrame, ids: DataFrame) -> DataFrame:
+def parted(a: np.ndarray, b: np.ndarray, counts: np.ndarray, parts: int) -> tuple[np.ndarray, pa.Array]:
+    """New places (0 stays) of distinct pairs, by part and pair, and the parts."""
+    part = (mix(a.astype(np.uint64) ^ mix(b)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((b, a, part))
+    anew = np.zeros(len(a) + 1, np.int32)
+    anew[order + 1] = np.arange(1, len(a) + 1)
+    a, b = a[order], b[order]
+
+    def keys(s: int, e: int) -> bytes:
+        return _squeeze(np.concatenate([np.diff(a[s:e], prepend=0), b[s:e]]), np.int64)
+
+    return anew, _cut(part[order], counts[order], keys)
+
+
+def _paired(encoded: DataFrame, told: DataFrame, parts: int) -> DataFrame:
     """Rows of the next round; batches without any frequent id have none."""
 
     def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,25 +318,20 @@ def _paired(encoded: DataFrame, ids: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 places = _unsqueeze(row.column("places")[0].as_py())
-                told = row.column("ids")[0].values
                 table = np.zeros(int(places.max(initial=0)) + 1, np.int64)
-                table[told.field("place").to_numpy()] = told.field("id").to_numpy()
-                del told
+                for part in row.column("told")[0]:
+                    table[np.cumsum(_unsqueeze(part["places"].as_py()))] = _unsqueeze(part["ids"].as_py(), np.int64)
                 found, a, b, counts = next_places(places, table)
                 if len(a) == 0:
                     continue
+                anew, cut = parted(a, b, counts, parts)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        row.column("batch"),
-                        row.column("lang"),
-                        pa.array([_squeeze(found)], pa.binary()),
-                        *[pa.array([x], pa.list_(pa.int64())) for x in (a, b, counts)],
-                    ],
-                    ["batch", "lang", "places", "a", "b", "n_batch"],
+                    [row.column("batch"), row.column("lang"), pa.array([_squeeze(anew[found])], pa.binary()), cut],
+                    ["batch", "lang", "places", "parts"],
                 )
         give_back()
 
-    told = ids.groupBy("batch").agg(F.collect_list(F.struct("place", "id")).alias("ids"))
+    told = told.groupBy("batch").agg(F.collect_list(F.struct("places", "ids")).alias("told"))
     joined = encoded.select("batch", "lang", "places").join(told, "batch")
     return joined.mapInArrow(pair, _PAIR_ROWS)
 
@@ -215,19 +339,21 @@ def _paired(encoded: DataFrame, ids: DataFrame) -> DataFrame:
 # --- Rounds -------------------------------------------------------------------------
 
 
-def _frequent(encoded: DataFrame, key: list[str], least: int) -> tuple[DataFrame, DataFrame]:
-    """``(lang, key, f, id)`` of what is frequent, and its ids by ``batch, place``.
+def _frequent(encoded: DataFrame, key: dict[str, str], parts: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """``(lang, key, f, id)`` of what is frequent, and its places and ids by ``batch``.
 
-    Both come from one shuffle of the batches' counts; ids start at 1 with the most frequent.
+    Both come from one shuffle of the batches' parts.  Ids follow the frequency within a part
+    and tell the part, so no two items of a language share one.
     """
-    items = encoded.select("batch", "lang", F.posexplode(F.arrays_zip(*key, "n_batch")).alias("at", "item"))
-    counted = items.select("batch", "lang", (F.col("at") + 1).alias("place"), *[F.col(f"item.{k}").alias(k) for k in key], "item.n_batch")
-    total = F.sum("n_batch").over(Window.partitionBy("lang", *key))
-    kept = materialise(counted.withColumn("f", total).where(F.col("f") >= least).drop("n_batch"), "frequent")
-    distinct = kept.groupBy("lang", *key).agg(F.first("f").alias("f")).withColumn("one", F.lit(1))
-    ranked = running_totals(distinct, ["lang"], [F.col("f").desc(), *key], {"id": "one"})
-    ranked = materialise(ranked.select("lang", *key, "f", "id"), "ranked")
-    return ranked, kept.join(ranked.drop("f"), ["lang", *key]).select("batch", "place", "id")
+    add = add_words if "word" in key else add_pairs
+    sent = encoded.select("batch", "lang", F.inline("parts"))
+    lists = ", ".join(f"{k} array<{t}>" for k, t in {**key, "f": "long", "id": "long"}.items())
+    added = sent.groupBy("lang", "part").applyInArrow(
+        lambda table: add(table, parts, least), f"lang string, batch long, places binary, ids binary, {lists}"
+    )
+    added = materialise(added, "frequent")
+    found = added.where(F.col("batch").isNull()).select("lang", F.inline(F.arrays_zip(*key, "f", "id")))
+    return found, added.where(F.col("batch").isNotNull()).select("batch", "places", "ids")
 
 
 def _phrases(ranked: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -268,14 +394,17 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     """
     encoded = materialise(_encoded(docs), "words")
     sizes = encoded.groupBy("lang").agg(F.sum("n").alias("n"))
-    ranked, ids = _frequent(encoded, ["word"], least)
+    ranked, told = _frequent(encoded, {"word": "string"}, PARTS, least)
+    # The words of the largest language; no batch sends more pairs than it has words.
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    parts = max(PARTS, 1 << (most // PART_WORDS).bit_length())
     rounds = [
         ranked.select("lang", "id", "f", *[F.array(c).alias(n) for c, n in (("word", "words"), ("f", "begins"), ("f", "ends"))])
     ]
     found = []
     for length in range(2, longest + 1):
-        encoded = materialise(_paired(encoded, ids), f"pairs-{length}")
-        ranked, ids = _frequent(encoded, ["a", "b"], least)
+        encoded = materialise(_paired(encoded, told, parts), f"pairs-{length}")
+        ranked, told = _frequent(encoded, {"a": "long", "b": "long"}, parts, least)
         rounds.append(materialise(_phrases(ranked, rounds[-1]), f"phrases-{length}"))
     for length in range(2, longest + 1):
         phrases = rounds[length - 1]

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from datetime import UTC, datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventloom.functions.storage import new_folder
@@ -255,6 +256,53 @@ def test_tiles_count_what_coordinates_count():
     assert (firsts[place - 1] == a).all() and (seconds[place - 1] == b).all()
 
 
+def parts_of(batches, parts):
+    """The rows that batches of pairs send, by part."""
+    out = defaultdict(list)
+    for batch, (a, b, counts) in batches.items():
+        _, cut = phrases.parted(np.array(a), np.array(b), np.array(counts), parts)
+        for row in cut[0].as_py():
+            out[row["part"]].append({"lang": "en", "batch": batch, **row})
+    return out
+
+
+def test_a_batch_sends_a_row_a_part_and_a_few_bytes_a_pair():
+    r = np.random.default_rng(8)
+    code = np.unique(r.zipf(1.3, 400_000) % 20_000 * 20_000 + r.zipf(1.3, 400_000) % 20_000)
+    batches = {7: (code // 20_000 + 1, code % 20_000 + 1, np.ones(len(code), int))}
+    rows = [x for found in parts_of(batches, 64).values() for x in found]
+    assert len(rows) == 64
+    assert sum(len(x["keys"]) + len(x["counts"]) for x in rows) < 4 * len(code)
+
+
+def test_parts_of_pairs_add_up():
+    wide = 1 << 33
+    batches = {
+        1: ([5, 5, 9, wide], [1, 2, 9, wide + 1], [2, 3, 1, 4]),
+        2: ([9, wide, 5], [9, wide + 1, 1], [8, 1, 4]),
+        3: ([wide], [wide], [1]),
+    }
+    for parts in (1, 3):
+        found, told, f = {}, {}, Counter()
+        for a, b, counts in batches.values():
+            for x, y, n in zip(a, b, counts, strict=True):
+                f[x, y] += n
+        for part, rows in parts_of(batches, parts).items():
+            for row in phrases.add_pairs(pa.Table.from_pylist(rows), parts, 5).to_pylist():
+                if row["batch"] is None:
+                    found |= {(x, y): (n, i) for x, y, n, i in zip(row["a"], row["b"], row["f"], row["id"], strict=True)}
+                    assert row["f"] == sorted(row["f"], reverse=True) and {(i - 1) % parts for i in row["id"]} <= {part}
+                else:
+                    places = np.cumsum(phrases._unsqueeze(row["places"]))
+                    told.setdefault(row["batch"], {}).update(zip(places, phrases._unsqueeze(row["ids"], np.int64), strict=True))
+        assert {k: n for k, (n, _) in found.items()} == {k: n for k, n in f.items() if n >= 5}
+        assert len({i for _, i in found.values()}) == len(found)
+        for batch, (a, b, counts) in batches.items():
+            anew, _ = phrases.parted(np.array(a), np.array(b), np.array(counts), parts)
+            wanted = {anew[i + 1]: found[k][1] for i, k in enumerate(zip(a, b, strict=True)) if k in found}
+            assert told.get(batch, {}) == wanted
+
+
 # --- Bounds -------------------------------------------------------------------------
 
 
