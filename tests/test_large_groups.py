@@ -9,7 +9,7 @@ from conftest import ROWS, build
 from pyspark.sql import functions as F
 
 from eventloom.functions.ordered import global_rank, running_totals, split_at_borders
-from eventloom.functions.quantiles import exact_quantiles
+from eventloom.functions.quantiles import exact_quantiles, planned_quantile
 from eventloom.operators import analyses, provenance
 from eventloom.operators.sequence import ordered_log, with_neighbours
 from eventloom.operators.views import case_metrics, case_table, step_gaps, transition_metrics
@@ -130,6 +130,21 @@ def test_quantiles_keep_a_null_group_and_skip_null_values(spark):
     assert {r["g"]: r["m"] for r in exact_quantiles(df, ["g"], "v", {"m": 0.5}).collect()} == {None: 2.0, "b": 5.0}
 
 
+@pytest.mark.parametrize("prob", [0.0, 0.3, 0.5, 1.0])
+def test_planned_quantiles_against_numpy(spark, prob):
+    rng = np.random.default_rng(4)
+    values = {"a": rng.integers(-(1 << 52), 1 << 52, 301), "b": rng.integers(-70_000, 70_000, 400), "c": np.array([9]), None: np.array([1, 2] * 50)}
+    rows = [(g, int(v)) for g, own in values.items() for v in own]
+    df = spark.createDataFrame([*rows, ("a", None), ("none", None)], "g string, v long")
+    path = f"planned-{prob}"
+    spark.sparkContext.setJobGroup(path, path)
+    planned = planned_quantile(df, ["g"], "v", "q", prob)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(path)
+    got = {r["g"]: r["q"] for r in planned.collect()}
+    assert got == {g: pytest.approx(np.quantile(own, prob), rel=1e-12, abs=1e-9) for g, own in values.items()}
+
+
 def test_running_totals_against_python(spark):
     rng = random.Random(3)
     rows = [(rng.choice("ab"), i, rng.randrange(5)) for i in range(200)]
